@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from difflib import SequenceMatcher
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,52 +46,73 @@ def distance_candidates(registry: DataFrame, reports: DataFrame, km: float) -> D
     return m.join(p, "band").where(_km() <= km).drop("band")
 
 
-def _letters(key: Column) -> Column:
-    return F.array(*[F.length(key) - F.length(F.replace(key, F.lit(c))) for c in "abcdefghijklmnopqrstuvwxyz0123456789"])
+def segments(length: int, r: float) -> list[tuple[int, int]]:
+    """(start, size) of the pieces of a key of which any key of similarity r keeps one whole.
+
+    Similarity r leaves at most (1 - r)(a + b) characters unmatched, each of which
+    spoils one piece, so one piece more than that survives.
+    """
+    longest = int(length * (2 - r) / r + 1e-9)
+    count = min(length, int((1 - r) * (length + longest) + 1e-9) + 1)
+    edges = [length * i // count for i in range(count + 1)]
+    return [(x, y - x) for x, y in zip(edges, edges[1:])]
+
+
+def segment_keys(key: str, r: float) -> list[str]:
+    return [f"{len(key)}:{i}:{key[x : x + size]}" for i, (x, size) in enumerate(segments(len(key), r))]
+
+
+def probe_keys(key: str, r: float) -> list[str]:
+    """Every segment key that a key of similarity r can have, from the substrings in its reach."""
+    m = len(key)
+    out = set()
+    for n in range(max(1, int(m * r / (2 - r))), int(m * (2 - r) / r + 1e-9) + 1):
+        free = int((1 - r) * (n + m) + 1e-9)
+        if abs(n - m) > free:
+            continue
+        for i, (x, size) in enumerate(segments(n, r)):
+            for at in range(max(0, x - (free + n - m) // 2), min(m - size, x + (free + m - n) // 2) + 1):
+                out.add(f"{n}:{i}:{key[at : at + size]}")
+    return sorted(out)
 
 
 def name_candidates(registry: DataFrame, reports: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of distinct keys whose similarity reaches ``threshold``, expanded to their rows.
+    """Pairs of rows whose site keys have a similarity of at least ``threshold``.
 
-    A ratio r needs matched characters M with 2M >= r(|a| + |b|), and M is at most
-    the shorter length and at most the common letters: both bounds are exact and
-    cheap, and they come before the similarity.  For r >= 0.7 a pair also shares
-    a bigram among the rarest of each key, which is the equi-key.
+    Distinct keys meet in a segment that survives (no similar pair is lost); the
+    common letters bound the similarity from above, and only pairs within that
+    bound are compared.
     """
     r = threshold / 100
-    keys = lambda df, p: _side(df, p).where(F.col(f"{p}_key") != "").select(f"{p}_key").distinct()
-    m, p = keys(registry, "m"), keys(reports, "p")
-    longest = (2 - r) / r  # of the other key's length
-
-    def grams(df: DataFrame, c: str) -> DataFrame:
-        places = F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1)))
-        return df.select(c, F.explode(F.array_distinct(F.transform(places, lambda i: F.substring(F.col(c), i, 2)))).alias("gram"))
-
-    if r < 0.7:
-        raise ValueError("name thresholds under 70 are not supported")
-    # at most 36 * 37 bigrams exist
-    frequency = F.broadcast(grams(m, "m_key").groupBy("gram").agg(F.count("*").alias("n")))
-
-    def rare(df: DataFrame, c: str) -> DataFrame:
-        g = grams(df, c).join(frequency, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-        place = F.row_number().over(Window.partitionBy(c).orderBy("n", "gram"))
-        count = F.count("*").over(Window.partitionBy(c))
-        # unmatched characters of both keys together, each of which breaks at most two bigrams
-        broken = 2 * F.floor((1 - r) * F.length(c) * (1 + longest))
-        return g.withColumn("place", place).withColumn("count", count).where(F.col("place") <= F.least("count", broken + 1)).select(c, "gram")
-
-    length = lambda a, b: F.length(a) * longest + 1e-9 >= F.length(b)
-    pairs = (
-        rare(m, "m_key").join(rare(p, "p_key"), "gram")
-        .where(length("m_key", "p_key") & length("p_key", "m_key"))
-        .select("m_key", "p_key").distinct()
-    )
-    common = F.aggregate(
-        F.zip_with(_letters(F.col("m_key")), _letters(F.col("p_key")), lambda a, b: F.least(a, b)), F.lit(0), lambda acc, x: acc + x
-    )
-    bound = pairs.where(2 * common + 1e-9 >= r * (F.length("m_key") + F.length("p_key")))
-    alike = bound.withColumn("name_score", key_similarity(F.col("m_key"), F.col("p_key"))).where(F.col("name_score") >= threshold)
-    return alike.drop("name_score").join(_side(registry, "m"), "m_key").join(_side(reports, "p"), "p_key")
+    if not 0.5 <= r <= 1:
+        raise ValueError("the name threshold must be from 50 to 100")
+    keys = lambda df, p: _side(df, p).where(F.col(f"{p}_key") != "").select(F.col(f"{p}_key").alias("key")).distinct()
+
+    def signed(df: DataFrame, p: str, signs: Callable[[str, float], list[str]]) -> DataFrame:
+        def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                yield pd.DataFrame([(s, k) for k in b["key"] for s in signs(k, r)], columns=["sign", f"{p}_key"])
+
+        return df.mapInPandas(sign, f"sign string, {p}_key string")
+
+    pairs = signed(keys(registry, "m"), "m", segment_keys).join(signed(keys(reports, "p"), "p", probe_keys), "sign").select("m_key", "p_key").distinct()
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            every, place = np.unique(b.to_numpy().ravel(), return_inverse=True)
+            letters = np.zeros((len(every), 128), dtype="i4")
+            for i, k in enumerate(every):
+                np.add.at(letters[i], np.frombuffer(k.encode(), "u1") & 127, 1)
+            left, right = place.reshape(-1, 2).T
+            size = letters.sum(axis=1)
+            both = size[left] + size[right]
+            bound = 2 * np.minimum(letters[left], letters[right]).sum(axis=1) + 1e-9 >= r * both
+            near = b[bound]
+            alike = [100.0 * SequenceMatcher(None, x, y).ratio() >= threshold for x, y in zip(near["m_key"], near["p_key"])]
+            yield near[np.array(alike, dtype=bool)]
+
+    alike = pairs.mapInPandas(compare, "m_key string, p_key string")
+    return alike.join(_side(registry, "m"), "m_key").join(_side(reports, "p"), "p_key")
 
 
 def match_candidates(
