@@ -37,7 +37,6 @@ FROM (
   FROM (
     SELECT *, regexp_replace(regexp_replace(num, '[ ''’]', '', 'g'), ',(\\d{{3}})($|\\D)', '\\1\\2', 'g') AS plain0,
       regexp_replace(plain0, ',(\\d{{3}})($|\\D)', '\\1\\2', 'g') AS plain1,
-      regexp_replace(plain1, ',(\\d{{3}})($|\\D)', '\\1\\2', 'g') AS plain1,
       regexp_replace(plain1, ',(\\d{{3}})($|\\D)', '\\1\\2', 'g') AS plain,
       nullif(regexp_extract(lower(substr(body, length(num) + 1)), {_q(f'^[ -]*({unit})(?:[^a-z0-9/%]|$)')}, 1), '') AS u_cell
     FROM (
