@@ -35,9 +35,7 @@ FROM (
   SELECT statement_id, rid, cell, cell_unit, u_col, u_rem, u_src, u_cell,
     try_cast(replace(CASE WHEN regexp_matches(plain, '\\..*[.,]') THEN replace(plain, '.', '') ELSE plain END, ',', '.') AS DOUBLE) AS number
   FROM (
-    SELECT *, regexp_replace(regexp_replace(num, '[ ''’]', '', 'g'), ',(\\d{{3}})($|\\D)', '\\1\\2', 'g') AS plain0,
-      regexp_replace(plain0, ',(\\d{{3}})($|\\D)', '\\1\\2', 'g') AS plain1,
-      regexp_replace(plain1, ',(\\d{{3}})($|\\D)', '\\1\\2', 'g') AS plain,
+    SELECT *, regexp_replace(regexp_replace(num, '[ ''’]', '', 'g'), ',(\\d{{3}})\\b', '\\1', 'g') AS plain,
       nullif(regexp_extract(lower(substr(body, length(num) + 1)), {_q(f'^[ -]*({unit})(?:[^a-z0-9/%]|$)')}, 1), '') AS u_cell
     FROM (
       SELECT d.statement_id, trim(d.record_id, ' ') AS rid, d.{field} AS cell, d.{field}_unit AS cell_unit,
