@@ -55,6 +55,14 @@ MOST_SPAN = 1000
 #: How much of a text is looked at on either side of a stop.
 NEAR = 200
 _PART_BEFORE = re.compile(r"(?i)(?:^|[\s'’])(?:" + "|".join(sorted(PARTS)) + r")\s+\p{L}$")
+_JOINER = re.compile(r"[\-'’]")
+_DEVANAGARI = re.compile(r"\p{Devanagari}")
+_DOTTED_END = re.compile(r"(?:\p{L}\.)+\p{L}$")
+_METRES_END = re.compile(r"\d\s*[mм]$")
+_INITIAL = re.compile(r"\p{L}\.(?!\p{L}{2})")
+_TWO_LETTERS = re.compile(r"\p{L}\. ?\p{L}$")
+_TWO_SMALL = re.compile(r"(?<!\p{L})\p{Ll}\. ?\p{Ll}$")
+_NUMBER_AHEAD = re.compile(r"\d+(?:\.\d+)?(?=\p{Han}|\p{Hiragana}|\p{Katakana}| m of| ?\p{Lu})")
 _STOP = re.compile(r"[.!?…。！？।॥؟]+")
 _WORD_BEFORE = re.compile(r"[\p{L}\p{M}\p{N}'’\-/]+$")
 _WORD_NEXT = re.compile(r"[\p{L}\p{M}\p{N}]+")
@@ -166,7 +174,7 @@ def _ends(doc: _Document, text: str, start: int, at: int, end: int, mark: str, l
         return not nxt.islower() and nxt not in ",;:" and not (gap == 0 and nxt.isdigit())
     if nxt in ",;:":
         return False
-    tail = word if "/" in word else re.split(r"[\-'’]", word)[-1]
+    tail = word if "/" in word else _JOINER.split(word)[-1]
     if gap == 0 and end == at + 1:  # no blank: a decimal, a file name, or a lost blank
         if _CJK.match(nxt) or (nxt.isdigit() and _lost_blank_number(text, at, word)):
             return bool(word) and not (word.isdigit() and nxt.isdigit())
@@ -183,18 +191,18 @@ def _ends(doc: _Document, text: str, start: int, at: int, end: int, mark: str, l
         return not (tail.isalpha() and doc.abbreviation(tail))
     if not word:
         return True
-    if re.match(r"\p{Devanagari}", word[-1]):
+    if _DEVANAGARI.match(word[-1]):
         return False
     if _HEAD_NUMBER.fullmatch(before) and len(before.strip()) <= 6:  # "2.3 Assays": the number of a heading
         return False
     if tail.isdigit():
         nxt_word = _WORD_NEXT.match(stripped)
         return not (len(tail) <= 2 and nxt_word and nxt_word[0].lower() in MONTHS)
-    dotted = re.search(r"(?:\p{L}\.)+\p{L}$", before)
+    dotted = _DOTTED_END.search(before)
     if dotted or (len(tail) == 1 and tail.isalpha()):
-        if not nxt.islower() and (_PART_BEFORE.search(before) or re.search(r"\d\s*[mм]$", before)):
+        if not nxt.islower() and (_PART_BEFORE.search(before) or _METRES_END.search(before)):
             return True  # a named part, or metres
-        if re.match(r"\p{L}\.(?!\p{L}{2})", stripped) or (nxt.isdigit() and not _NO_CASE.match(tail[-1]) and tail != "m"):
+        if _INITIAL.match(stripped) or (nxt.isdigit() and not _NO_CASE.match(tail[-1]) and tail != "m"):
             return False  # another initial, or a numbered reference
         single = dotted[0].lower() if dotted else tail.lower()
         if nxt.islower() or nxt.isdigit():
@@ -206,8 +214,8 @@ def _ends(doc: _Document, text: str, start: int, at: int, end: int, mark: str, l
         if tail.isupper() or dotted:
             nxt_word = _WORD_NEXT.match(stripped)
             # a capital initial before a name; "S." or "B." before a number, "z. B." before a noun
-            return bool(nxt_word) and doc.common(nxt_word[0]) and len(nxt_word[0]) > 1 and (bool(dotted) or not re.search(r"\p{L}\. ?\p{L}$", before))
-        return not (doc.abbreviation(single) or re.search(r"(?<!\p{L})\p{Ll}\. ?\p{Ll}$", before))
+            return bool(nxt_word) and doc.common(nxt_word[0]) and len(nxt_word[0]) > 1 and (bool(dotted) or not _TWO_LETTERS.search(before))
+        return not (doc.abbreviation(single) or _TWO_SMALL.search(before))
     if not doc.abbreviation(tail):
         return True
     if nxt.islower() or nxt.isdigit():
@@ -222,7 +230,7 @@ def _lost_blank_number(text: str, at: int, word: str) -> bool:
     """'missing.2086...': a word of lower-case letters, then a number with no blank between."""
     if not word.isalpha() or len(word) < 2:
         return False
-    after = re.match(r"\d+(?:\.\d+)?(?=\p{Han}|\p{Hiragana}|\p{Katakana}| m of| ?\p{Lu})", text[at + 1 : at + 20])
+    after = _NUMBER_AHEAD.match(text[at + 1 : at + 20])
     return bool(after)
 
 
