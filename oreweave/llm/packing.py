@@ -29,36 +29,42 @@ def exact_combination(counts: np.ndarray, gap: int) -> list[int] | None:
     """One, two or three available lengths that sum to ``gap``, larger ones first; None if there are none."""
     if gap < len(counts) and counts[gap]:
         return [gap]
-    have = counts > 0
     top = min(gap - 1, len(counts) - 1)
     if top < 1:
         return None
-    a = np.arange(1, top + 1)
-    b = gap - a
-    ok = have[a] & (b >= 1) & (b <= top) & (b <= a)
-    ok[ok] &= have[b[ok]] & ((a[ok] != b[ok]) | (counts[a[ok]] >= 2))
-    if ok.any():
-        first = int(a[ok].max())
-        return [first, gap - first]
-    lengths = np.flatnonzero(have[: top + 1])
-    for c in lengths[::-1]:  # largest third first
+    have = counts > 0
+    pair = _pair(counts, have, gap, top)
+    if pair:
+        return pair
+    # sums of two available lengths as the bits of one number; counts are checked only where a bit is set
+    lengths = np.flatnonzero(have[: top + 1]).tolist()
+    bits = sum(1 << n for n in lengths)
+    sums = 0
+    for n in lengths:
+        sums |= bits << n
+    for c in reversed(lengths):  # largest first
         rest = gap - c
-        if rest < 2:
-            continue
-        small = lengths[(lengths <= c) & (lengths < rest)]
-        other = rest - small
-        fits = (other <= small) & (other >= 1)
-        small, other = small[fits], other[fits]
-        good = have[other]
-        small, other = small[good], other[good]
-        need = 1 + (small == c) + 0
-        enough = (counts[small] >= need + (small == other)) & (counts[other] >= 1 + (other == c) + (other == small))
-        if enough.any():
-            s = int(small[enough].max())
-            return [int(c), s, int(rest - s)]
+        if rest >= 2 and sums >> rest & 1:
+            counts[c] -= 1
+            pair = _pair(counts, counts > 0, rest, min(rest - 1, c))
+            counts[c] += 1
+            if pair:
+                return [c, *pair]
     return None
 
 
+def _pair(counts: np.ndarray, have: np.ndarray, gap: int, top: int) -> list[int] | None:
+    """Two available lengths of at most ``top`` that sum to ``gap``, the larger as large as can be."""
+    a = np.arange(max(1, (gap + 1) // 2), top + 1)
+    if not len(a):
+        return None
+    ok = have[a] & have[gap - a]
+    if len(a) and 2 * a[0] == gap:
+        ok[0] = counts[a[0]] >= 2
+    found = np.flatnonzero(ok)
+    return [int(a[found[-1]]), gap - int(a[found[-1]])] if len(found) else None
+
+
 def pack_histogram(counts: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
     """Patterns (lengths, multiplicity) that use every item of the histogram once.
 
