@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreweave.functions.helpers import let
+from oreweave.session import cut_lineage
 
 # Exact definitions.
 POUND_KG = 0.45359237
@@ -228,7 +229,7 @@ def harmonise(statements: DataFrame, sources: DataFrame, tolerance: float = 0.05
     comes within ``tolerance`` of the best, or when there is nothing to compare
     with; such a value stays null).  Ties go to the unit first in the table.
     """
-    stated = stated_values(statements, sources)
+    stated = cut_lineage(stated_values(statements, sources))
     middle = (
         stated.where(F.col("value") > 0)
         .groupBy("record_id", "field")
@@ -306,6 +307,8 @@ def agreeing_pairs(values: DataFrame, tolerance: float = 0.005) -> DataFrame:
         "value",
         F.when(F.col("value") > 0, F.floor(F.log("value") / step)).otherwise(F.lit(-(2**40))).cast("long").alias("bucket"),
     )
+    # read by both sides: written once, so that cells are parsed once
+    known = cut_lineage(known)
     low = known.select([F.col(c) if c in ("record_id", "field", "bucket") else F.col(c).alias(f"{c}_l") for c in known.columns])
     # the higher value lies in the same bucket or the one above
     high = known.withColumn("bucket", F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)))
