@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oreweave.session import cut_lineage
+
 #: A word enters the corpus lexicon with at least this share of all stops, so
 #: the lexicon has at most 1 / LEAST_SHARE entries.
 LEAST_SHARE = 1e-5
@@ -108,7 +110,7 @@ def abbreviation_lexicon(docs: DataFrame, text: str = "text") -> dict[str, float
             yield pd.DataFrame([(w, n, k) for w, (n, k) in seen.items()], columns=["word", "n", "shown"])
 
     counted = docs.select(F.col(text).alias("text")).mapInPandas(count, "word string, n long, shown long")
-    per_word = counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("shown").alias("shown"))
+    per_word = cut_lineage(counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("shown").alias("shown")))
     total = per_word.agg(F.sum("n")).first()[0] or 0
     kept = per_word.where((F.col("n") >= max(LEAST_COUNT, LEAST_SHARE * total)))
     return {r["word"]: r["shown"] / r["n"] for r in kept.toLocalIterator()}
