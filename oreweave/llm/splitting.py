@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreweave.llm.sentences import unit_starts
+from oreweave.session import cut_lineage
 
 LIMIT = 6000
 OVERLAP = 200
@@ -150,7 +151,7 @@ def title_lexicon(reports: DataFrame, text: str = "text") -> frozenset[str]:
             yield pd.DataFrame(list(seen.items()), columns=["title", "n"])
 
     counted = reports.select(F.col(text).alias("text")).mapInPandas(count, "title string, n long")
-    per_title = counted.groupBy("title").agg(F.sum("n").alias("n"))
+    per_title = cut_lineage(counted.groupBy("title").agg(F.sum("n").alias("n")))
     total = per_title.agg(F.sum("n")).first()[0] or 0
     kept = per_title.where(F.col("n") >= max(3, LEAST_TITLE_SHARE * total))
     return frozenset(r["title"] for r in kept.toLocalIterator())
