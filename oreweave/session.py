@@ -40,3 +40,30 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 def partitions(spark: SparkSession) -> int:
     """Number of shuffle partitions, for operators that must fix it themselves."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python workers, once per application.
+
+    Workers import it when they unpickle functions; on a cluster they need not
+    have it installed.
+    """
+    import zipfile
+
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="oreweave-")
+    target = os.path.join(folder, "oreweave_package.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(base, f)
+                    z.write(path, os.path.join("oreweave", os.path.relpath(path, root)))
+    context.addPyFile(target)
+    _shipped.add(context.applicationId)
