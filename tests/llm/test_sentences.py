@@ -1,8 +1,9 @@
 import pytest
 
-from oreweave.llm.sentences import abbreviation_lexicon, sentence_units, unit_starts
+from oreweave.llm import sentences
+from oreweave.llm.sentences import corpus_lexicon, sentence_units, unit_starts
 
-LEXICON = {w: 1.0 for w in "fig no sec ca approx fm corp ltd vs i.e e.g a.m incl jan oct г т е д др usw ej ex".split()}
+LEXICON = {w: (1.0, False) for w in "fig no sec ca approx fm corp ltd vs i.e e.g a.m incl jan oct г т е д др usw ej ex".split()}
 
 
 def units(text, lexicon=LEXICON):
@@ -45,9 +46,53 @@ def test_headings_lists_wraps_and_lost_blanks():
 
 
 def test_lexicon_is_learned_from_the_corpus(spark):
-    docs = [(i, f"The Qf. {i} held water. The end. See qf. b again.") for i in range(20)]
-    lexicon = abbreviation_lexicon(spark.createDataFrame(docs, "doc_id long, text string"))
-    assert lexicon["qf"] == 1.0 and lexicon["water"] == 0.0
+    docs = [(i, f"The Qf. {i} held water. The end. See qf. b again. It is water here! Xr. Zolu{i} left.") for i in range(30)]
+    lexicon = {r["word"]: (r["prior"], r["common"]) for r in corpus_lexicon(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert lexicon["qf"] == (1.0, False)
+    # always with a stop before a capital, never at the end: a title
+    assert lexicon["xr"][0] == sentences.ALWAYS_DOTTED
+    assert "water" not in lexicon and lexicon["it"][1] and lexicon["the"][1] and "zolu3" not in lexicon
+
+
+def test_document_overrules_corpus_and_lists():
+    # in this document "fig" stands without a stop and ends paragraphs
+    text = "He ate a fig.\n\nA ripe fig.\n\nOne more fig. Trees grow here. The fig tree. A fig."
+    assert units(text) == ["He ate a fig.", "A ripe fig.", "One more fig.", "Trees grow here.", "The fig tree.", "A fig."]
+    # unknown to corpus and lists, shown here
+    assert units("The Krx. 1 and Krx. 2, then Krx. 3 and the Krx. Zolu bed.", {}) == ["The Krx. 1 and Krx. 2, then Krx. 3 and the Krx. Zolu bed."]
+
+
+def test_names_and_common_words_after_an_abbreviation():
+    assert units("Zolu Corp. Drilling went on.", {"corp": (1.0, False), "drilling": (-1.0, True)}) == ["Zolu Corp.", "Drilling went on."]
+    assert units("Zolu Corp. Drilling went on.", {"corp": (1.0, False)}) == ["Zolu Corp. Drilling went on."]
+    assert units("Zolu Corp. Drilling went on. They stopped drilling.", {"corp": (1.0, False)}) == ["Zolu Corp.", "Drilling went on.", "They stopped drilling."]
+
+
+@pytest.mark.parametrize("n", [60, 120, 12_000])
+def test_quotations_of_any_length(n):
+    quote = 'He said: "' + "This is short. " * n + 'The end." '
+    assert units(quote + "Then he left. Next one came.") == [quote.strip(), "Then he left.", "Next one came."]
+    bracket = "He left (" + "this is short. " * n + "the end). "
+    assert units(bracket + "Next one came.") == [bracket.strip(), "Next one came."]
+
+
+def test_time_is_linear():
+    import time
+
+    for piece in ("A. B. ", '(a. "b? c ', "a.", "(", "x", "1) x\n", '"', "「", "Ab. ", "\n"):
+        began = time.time()
+        unit_starts(piece * (300_000 // len(piece)) + " End. A")
+        assert time.time() - began < 20
+
+
+def test_a_large_lexicon_is_joined(spark, monkeypatch):
+    docs = [(i % 7, f"The Qf. {i} held water. Dr. Zolu{i} left it. See Qf. Zolu{i}. The end is near Qf. The pit.") for i in range(40)] + [(None, None), (3, " ")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = []
+    for most in 1000, 0:
+        monkeypatch.setattr(sentences, "MOST_SHIPPED", most)
+        found.append(sorted(map(str, sentence_units(df).collect())))
+    assert found[0] == found[1] and len(found[0]) > 100
 
 
 def test_tables_and_long_texts(spark):
