@@ -270,7 +270,7 @@ def corpus_lexicon(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     c = {x: F.col(x) for x in _COUNTS}
     share = c["shown"] / (c["shown"] + c["ends"])
-    always = (c["n"] >= 4 * LEAST_COUNT) & (c["ends"] * 200 <= c["n"]) & (c["bare"] * 5 <= c["docs"]) & ~F.col("word").contains(".")
+    always = (c["docs"] >= 4 * LEAST_COUNT) & (c["ends"] * 200 <= c["n"]) & (c["bare"] * 5 <= c["docs"]) & ~F.col("word").contains(".")
     prior = (
         F.when((c["n"] >= LEAST_COUNT) & (c["shown"] * 2 >= c["n"]), share)
         .when(always, F.lit(ALWAYS_DOTTED))
