@@ -70,3 +70,5 @@ PREVIEW_COLUMNS = (
     "record_id", "site_name", "latitude", "longitude", "commodities", "source", "confidence_score", "geologic_unit",
     "lithology", "geologic_age",
 )
+# Columns that a quality report asks for.
+REQUIRED_COLUMNS = ("record_id", "site_name", "latitude", "longitude", "commodities", "source", "confidence_score", "source_url")

@@ -28,36 +28,33 @@ def name_similarity(left: Column, right: Column) -> Column:
     return _ratio(site_key(left), site_key(right))
 
 
-def _windows(sentence: str, most: int) -> list[str]:
-    """Pieces of an over-long sentence, cut at the last blank of each window or at its end."""
-    out, at = [], 0
-    while at < len(sentence):
-        end = min(len(sentence), at + most)
-        if end < len(sentence):
-            blank = sentence.rfind(" ", at, end)
-            end = blank if blank > at else end
-        out.append(sentence[at:end].strip())
-        at = end
-    return [p for p in out if p]
+_SENTENCE_GAP = re.compile(r"(?<=[.!?])\s+")
 
 
 def pack_sentences(text: str, most: int) -> list[str]:
-    """Greedy chunks of whole sentences; a sentence over the limit closes the chunk and is cut by itself."""
+    """Chunks of at most ``most`` characters of a text with single blanks: runs of whole sentences, as long as they fit.
+
+    A chunk is a slice of the text from the start of a sentence to the last
+    sentence end in reach.  A sentence with no end in reach is cut by itself, at
+    the last blank of each stretch or where the stretch ends.
+    """
+    gaps = np.array([m.span() for m in _SENTENCE_GAP.finditer(text)], dtype="i8").reshape(-1, 2)
+    starts, ends = np.append(0, gaps[:, 1]), np.append(gaps[:, 0], len(text))
+    filled = starts < ends
+    starts, ends = starts[filled], ends[filled]
+    # index after the last sentence that fits when a chunk begins with each sentence
+    reach = np.searchsorted(ends, starts + most, "right")
+    stretch = re.compile(rf"(?s).{{1,{most}}}\Z|.{{1,{most - 1}}}(?= )|.{{{most}}}")
     chunks: list[str] = []
-    pending: list[str] = []
-    size = 0
-    for sentence in filter(None, re.split(r"(?<=[.!?])\s+", text)):
-        joined = size + 1 + len(sentence) if pending else len(sentence)
-        if pending and (joined > most or len(sentence) > most):
-            chunks.append(" ".join(pending).strip())
-            pending, joined = [], len(sentence)
-        if len(sentence) > most:
-            chunks += _windows(sentence, most)
-            size = 0
-            continue
-        pending.append(sentence)
-        size = joined
-    return chunks + ([" ".join(pending).strip()] if pending else [])
+    k = 0
+    while k < len(starts):
+        if reach[k] > k:
+            chunks.append(text[starts[k] : ends[reach[k] - 1]])
+            k = int(reach[k])
+        else:
+            chunks += filter(None, map(str.strip, stretch.findall(text[starts[k] : ends[k]])))
+            k += 1
+    return chunks
 
 
 def chunk_text(text: Column, max_tokens: int = 1500) -> Column:

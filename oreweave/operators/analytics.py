@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreweave.functions.commodity import commodity_color, commodity_label
-from oreweave.functions.constants import MAP_COLUMNS, PREVIEW_COLUMNS
+from oreweave.functions.constants import MAP_COLUMNS, PREVIEW_COLUMNS, REQUIRED_COLUMNS
 from oreweave.functions.geo import in_range
 from oreweave.functions.helpers import trim_all
 from oreweave.functions.text import site_key
@@ -109,12 +109,9 @@ def map_center(points: DataFrame) -> DataFrame:
     return points.agg(F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude"))
 
 
-REQUIRED = ("record_id", "site_name", "latitude", "longitude", "commodities", "source", "confidence_score", "source_url")
-
-
 def quality_report(df: DataFrame) -> DataFrame:
     """One row of data-quality counts; absent required columns are listed in ``missing_columns``."""
-    missing = [c for c in REQUIRED if c not in df.columns]
+    missing = [c for c in REQUIRED_COLUMNS if c not in df.columns]
     full = df.withColumns(
         {c: F.lit(None).cast("double" if c in ("latitude", "longitude", "confidence_score") else "array<string>" if c == "commodities" else "string") for c in missing}
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,11 +16,12 @@ from oreweave.functions.constants import COORDINATE_DIGITS, DISTANCE_BONUS_KM, D
 from oreweave.functions.geo import distance_km, in_range
 from oreweave.functions.text import first_present, join_distinct, site_key
 from oreweave.functions.udfs import key_similarity
+from oreweave.operators.proximity import circles, locate
 from oreweave.operators.registry import UNIFIED
 from oreweave.session import cut_lineage
 
-#: Kilometres of one degree of latitude, a little low so that a band is never too narrow.
-_KM_PER_DEGREE = 111.0
+#: Pairs that one task serves in order.
+SERVED_AT_ONCE = 2_000_000
 
 
 def _side(df: DataFrame, p: str) -> DataFrame:
@@ -33,17 +35,14 @@ def _km() -> Column:
 
 
 def distance_candidates(registry: DataFrame, reports: DataFrame, km: float) -> DataFrame:
-    """Pairs within ``km``: latitude bands as equi-key, a report in three of them, then the distance.
+    """(m_ord, p_ord) of the pairs within ``km``, by the sweep over latitude strips.
 
-    Bands carry no longitude, so poles and the 180th meridian need no care.
+    Positions out of range are near nothing.
     """
-    height = km / _KM_PER_DEGREE + 1e-6
-    band = lambda c: F.floor(c / height).cast("long")
-    m = _side(registry, "m").where("m_lat is not null and m_lon is not null").withColumn("band", band(F.col("m_lat")))
-    p = _side(reports, "p").where("p_lat is not null and p_lon is not null").withColumn(
-        "band", F.explode(F.array(*[band(F.col("p_lat")) + d for d in (-1, 0, 1)]))
+    circle = circles(reports.select("_ord", "latitude", "longitude"), "report", km, "_ord")
+    return locate(registry.select("_ord", "latitude", "longitude"), circle, "_ord").select(
+        F.col("_ord").alias("m_ord"), F.col("place_id").alias("p_ord")
     )
-    return m.join(p, "band").where(_km() <= km).drop("band")
 
 
 def segments(length: int, r: float) -> list[tuple[int, int]]:
@@ -77,7 +76,7 @@ def probe_keys(key: str, r: float) -> list[str]:
 
 
 def name_candidates(registry: DataFrame, reports: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of rows whose site keys have a similarity of at least ``threshold``.
+    """(m_ord, p_ord) of the pairs of rows whose site keys have a similarity of at least ``threshold``.
 
     Distinct keys meet in a segment that survives (no similar pair is lost); the
     common letters bound the similarity from above, and only pairs within that
@@ -112,7 +111,7 @@ def name_candidates(registry: DataFrame, reports: DataFrame, threshold: float) -
             yield near[np.array(alike, dtype=bool)]
 
     alike = pairs.mapInPandas(compare, "m_key string, p_key string")
-    return alike.join(_side(registry, "m"), "m_key").join(_side(reports, "p"), "p_key")
+    return alike.join(_side(registry, "m"), "m_key").join(_side(reports, "p"), "p_key").select("m_ord", "p_ord")
 
 
 def match_candidates(
@@ -123,10 +122,9 @@ def match_candidates(
     A distance of exactly 0 earns no bonus, as an unknown one; the bonus spans
     DISTANCE_BONUS_KM whatever the threshold.
     """
-    columns = ["m_ord", "p_ord", "m_key", "p_key", "m_lat", "m_lon", "p_lat", "p_lon"]
-    near = distance_candidates(registry, reports, distance_threshold_km).select(columns)
-    alike = name_candidates(registry, reports, name_threshold).select(columns)
-    pairs = near.unionByName(alike).dropDuplicates(["m_ord", "p_ord"])
+    near = distance_candidates(registry, reports, distance_threshold_km)
+    met = near.unionByName(name_candidates(registry, reports, name_threshold)).distinct()
+    pairs = met.join(_side(registry, "m"), "m_ord").join(_side(reports, "p"), "p_ord")
     scored = pairs.withColumn("km", _km()).withColumn("name_score", key_similarity(F.col("m_key"), F.col("p_key")))
     near_by = F.when(F.col("km") > 0, F.least("km", F.lit(DISTANCE_BONUS_KM))).otherwise(F.lit(DISTANCE_BONUS_KM))
     return scored.select(
@@ -134,27 +132,41 @@ def match_candidates(
     )
 
 
-def assign_one_to_one(candidates: DataFrame) -> DataFrame:
+def _serve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs in order of report, score and row: the first free row of each report."""
+    taken: set[int] = set()
+    last = None
+    for b in batches:
+        keep = []
+        for i, (m, p) in enumerate(zip(b["m_ord"], b["p_ord"])):
+            if p != last and m not in taken:
+                keep.append(i)
+                taken.add(m)
+                last = p
+        yield b.iloc[keep]
+
+
+def assign_one_to_one(candidates: DataFrame, at_once: int = SERVED_AT_ONCE) -> DataFrame:
     """The pairs that serving reports in order, best score first, earliest row on ties, would choose.
 
-    A report's best remaining row is certain once no earlier report wants that
-    row at all; all certain pairs are taken at once, their rows and reports
-    leave, and the rest goes round again.  The first remaining report is always
-    certain, so it ends; each round is checkpointed.
+    As long as more than ``at_once`` pairs are left, all certain pairs are taken
+    in parallel: a report's best remaining row is certain once no earlier report
+    wants that row at all; taken rows and reports leave.  What is left then, such
+    as long chains of reports that want each other's rows, is served in order by
+    one task, which holds no more than the rows taken.
     """
     left = cut_lineage(candidates)
-    chosen = left.limit(0)
-    while True:
+    chosen = []
+    while left.count() > at_once:
         best = Window.partitionBy("p_ord").orderBy(F.desc("score"), "m_ord")
         first = left.groupBy("m_ord").agg(F.min("p_ord").alias("first_p"))
-        sure = (
+        sure = cut_lineage(
             left.withColumn("place", F.row_number().over(best)).where("place = 1").join(first, "m_ord").where("p_ord = first_p").drop("place", "first_p")
         )
-        sure = cut_lineage(sure)
-        if sure.isEmpty():
-            return chosen
-        chosen = chosen.unionByName(sure)
+        chosen.append(sure)
         left = cut_lineage(left.join(sure.select("p_ord"), "p_ord", "left_anti").join(sure.select("m_ord"), "m_ord", "left_anti"))
+    served = left.coalesce(1).sortWithinPartitions("p_ord", F.desc("score"), "m_ord").mapInPandas(_serve, left.schema)
+    return reduce(DataFrame.unionByName, chosen, served)
 
 
 def match_records(

@@ -11,11 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from oreweave.functions.constants import NULL_TOKENS
 from oreweave.functions.helpers import let
 
-# Words that mean "no value" in the registry.
-NULL_WORDS = ("", "na", "n/a", "null", "none", "nan", "-999", "-9999")
-
 OPEN, CLOSE, ESCAPED, SLASH = "\ue000", "\ue001", "\ue002", "\ue003"
 
 #: Delimiters other than blanks. A hyphen separates only between blanks, a
@@ -48,7 +46,7 @@ def packed_values(cell: Column) -> Column:
 
     Null, blank and null-word cells give an empty array.  Repeats are kept.
     """
-    text = F.replace(F.coalesce(cell, F.lit("")), F.lit(OPEN), F.lit(OPEN + ESCAPED))
+    text = F.replace(F.replace(F.coalesce(cell, F.lit("")), F.lit(OPEN), F.lit(OPEN + ESCAPED)), F.lit(SLASH), F.lit(OPEN + SLASH))
     return let(text, lambda t: let(F.regexp_extract_all(t, F.lit(QUOTED), F.lit(0)), lambda spans: _split(t, spans)))
 
 
@@ -79,15 +77,15 @@ def _split(text: Column, spans: Column) -> Column:
             .when(one != "", let(F.get(spans, one.cast("int")), _unquote))
             .otherwise(mixed)
         )
-        plain = F.replace(plain, F.lit(OPEN + ESCAPED), F.lit(OPEN))
-        return _trim(F.replace(plain, F.lit("n" + SLASH + "a"), F.lit("n/a")))
+        plain = F.replace(plain, F.lit("n" + SLASH + "a"), F.lit("n/a"))
+        return _trim(F.replace(F.replace(plain, F.lit(OPEN + SLASH), F.lit(SLASH)), F.lit(OPEN + ESCAPED), F.lit(OPEN)))
 
     parts = let(
         marked,
         lambda m: F.when(m.rlike(DELIMITERS), F.split(m, DELIMITERS, -1)).otherwise(F.split(_trim(m), rf"{_BLANK}+", -1)),
     )
     values = F.transform(parts, lambda p: let(_trim(p), restore))
-    return F.filter(values, lambda v: ~F.lower(v).isin(*NULL_WORDS))
+    return F.filter(values, lambda v: ~F.lower(v).isin(*NULL_TOKENS))
 
 
 def unpack_values(

@@ -16,6 +16,7 @@ from oreweave.functions.constants import SITE_SIMILARITY, WEIGHT_COMMODITIES, WE
 from oreweave.functions.geo import in_range
 from oreweave.functions.helpers import let
 from oreweave.functions.text import optional_text, site_key
+from oreweave.operators.fusion import probe_keys, segment_keys
 from oreweave.operators.registry import RESPONSE
 
 _ITEM = "struct<site_name:string,latitude:double,longitude:double,commodities:array<string>,grade:double,tonnage:double>"
@@ -56,7 +57,8 @@ def merge_mentions(mentions: DataFrame, doc: str = "doc_id") -> DataFrame:
     Mentions are taken in chunk and item order; one joins the first record so far
     with an equal key or a similarity of SITE_SIMILARITY (incoming against
     existing), and the record keeps its first numbers, all commodities and the
-    longer name.  Nameless mentions are left out.  The order matters, so a
+    longer name.  Records are found by segments of their keys, one of which a
+    similar key keeps.  Nameless mentions are left out.  The order matters, so a
     document is one sequence; a document streams through its sorted partition and
     only its records so far are held, not its mentions.
     """
@@ -79,17 +81,31 @@ def merge_mentions(mentions: DataFrame, doc: str = "doc_id") -> DataFrame:
 
         current: Any = None
         records: list[dict] = []
+        # segments of the records' keys -> places of the records; a similar key has one of them
+        shared: dict[str, list[int]] = {}
+        signs = lru_cache(maxsize=1 << 14)(lambda k: segment_keys(k, SITE_SIMILARITY) if k else [""])
+        probes = lru_cache(maxsize=1 << 14)(lambda k: probe_keys(k, SITE_SIMILARITY) if k else [""])
+
+        def home_of(key: str) -> dict | None:
+            places = sorted({i for s in probes(key) for i in shared.get(s, ())})
+            return next((records[i] for i in places if alike(key, records[i]["key"])), None)
+
+        def known(place: int) -> None:
+            for s in signs(records[place]["key"]):
+                shared.setdefault(s, []).append(place)
+
         for b in batches:
             for row in b.to_dict("records"):
                 if row["doc"] != current:
                     if records:
                         yield done(current, records)
-                    current, records = row["doc"], []
+                    current, records, shared = row["doc"], [], {}
                 value = {c: None if pd.isna(row[c]) else row[c] for c in numbers}
                 names = [] if row["commodities"] is None else list(row["commodities"])
-                home = next((r for r in records if alike(row["key"], r["key"])), None)
+                home = home_of(row["key"])
                 if home is None:
-                    records.append({"site_name": row["site_name"], "key": row["key"], "commodities": names, "n": 1, **value})
+                    records.append({"site_name": row["site_name"], "key": row["key"], "commodities": names, "n": 1, "place": len(records), **value})
+                    known(len(records) - 1)
                     continue
                 home["n"] += 1
                 for c in numbers:
@@ -98,6 +114,7 @@ def merge_mentions(mentions: DataFrame, doc: str = "doc_id") -> DataFrame:
                 home["commodities"] = list(dict.fromkeys([*home["commodities"], *names]))
                 if len(row["site_name"]) > len(home["site_name"]):
                     home["site_name"], home["key"] = row["site_name"], row["key"]
+                    known(home["place"])
         if records:
             yield done(current, records)
 

@@ -9,6 +9,7 @@ from oreweave.operators.enrich import spatial_join
 from oreweave.operators.fusion import build_unified, match_counts
 from oreweave.operators.registry import normalize_registry, prepare_report_records, registry_to_unified, reports_to_unified, split_valid, valid_registry
 from oreweave.operators.reports import explode_mentions, merge_mentions
+from oreweave.session import cut_lineage
 from oreweave.sources.delimited import read_delimited
 from oreweave.sources.documents import Extractor, chunk_documents, extract_responses, read_documents
 from oreweave.sources.geoparquet import read_geoparquet, with_points, write_geoparquet
@@ -29,20 +30,25 @@ def ingest_documents(spark: SparkSession, path: str, extractor: Extractor, max_t
 
 
 def ordered(df: DataFrame, *by: str) -> DataFrame:
-    """The frame with ``_ord``, unique and ascending with the columns, without one global sort task."""
-    return df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_ord", F.monotonically_increasing_id())
+    """The frame with ``_ord``, unique and ascending with the columns, without one global sort task.
+
+    Written to the checkpoint folder once: another evaluation could cut the
+    ranges elsewhere and number the rows anew.
+    """
+    return cut_lineage(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_ord", F.monotonically_increasing_id()))
 
 
 def fuse(registry: DataFrame, reports: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(unified records, one row of counters); the registry carries ``_ord``, reports are put in path and cluster order."""
     if "_ord" not in reports.columns:
         reports = ordered(reports, *[c for c in ("path", "cluster") if c in reports.columns] or ["record_id"])
-    unified, parts = build_unified(registry_to_unified(registry, "_ord"), reports_to_unified(reports, "_ord"))
+    unified, parts = build_unified(cut_lineage(registry_to_unified(registry, "_ord")), reports_to_unified(reports, "_ord"))
     return unified, match_counts(unified, parts)
 
 
 def enrich(deposits: DataFrame, layer: DataFrame) -> DataFrame:
-    keyed = deposits if "_ord" in deposits.columns else deposits.withColumn("_ord", F.monotonically_increasing_id())
+    # the numbers join rows across two evaluations, so they are written once
+    keyed = deposits if "_ord" in deposits.columns else cut_lineage(deposits.withColumn("_ord", F.monotonically_increasing_id()))
     return spatial_join(keyed, layer).drop("_ord")
 
 

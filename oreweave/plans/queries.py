@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreweave.functions.commodity import fused_names
-from oreweave.functions.constants import AGE_KEYWORDS, FUSION_COMMODITIES, INGEST_COMMODITIES, LITHOLOGY_KEYWORDS, NULL_TOKENS
+from oreweave.functions.constants import AGE_KEYWORDS, COMMODITY_COLORS, DEFAULT_COLOR, FUSION_COMMODITIES, INGEST_COMMODITIES, LITHOLOGY_KEYWORDS, NULL_TOKENS
 from oreweave.functions.text import clean_report_text, coerce_double, extract_age, extract_lithology, report_record_id, site_key
 from oreweave.functions.wkb import polygon_wkb
 from oreweave.operators import analytics
@@ -34,8 +34,14 @@ def _reports(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _unified_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    once = _reports(spark, d).dropDuplicates(["record_id"])
-    return registry_to_unified(valid_registry(_registry(spark, d)), "_ord"), reports_to_unified(ordered(once, "record_id"), "_ord")
+    return registry_to_unified(valid_registry(_registry(spark, d)), "_ord"), reports_to_unified(ordered(_reports_once(spark, d), "record_id"), "_ord")
+
+
+def _reports_once(spark: SparkSession, d: str) -> DataFrame:
+    """Of a record extracted again its earliest extraction, then the smallest row."""
+    df = _reports(spark, d)
+    order = F.struct(F.coalesce("extracted_at", F.lit("9999-12-31").cast("timestamp")), *[c for c in df.columns if c != "extracted_at"])
+    return df.groupBy("record_id").agg(F.min_by(F.struct(*[c for c in df.columns if c != "record_id"]), order).alias("r")).select("record_id", "r.*")
 
 
 def ref_normalized_registry(spark: SparkSession, d: str) -> DataFrame:
@@ -109,11 +115,14 @@ def ref_distance_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 def ref_name_pairs(spark: SparkSession, d: str) -> DataFrame:
     registry, reports = _unified_inputs(spark, d)
-    return name_candidates(registry, reports, 88.0).select("m_ord", "p_ord")
+    ids = reports.select(F.col("_ord").alias("p_ord"), "record_id")
+    return name_candidates(registry, reports, 88.0).join(ids, "p_ord").select(F.col("m_ord").alias("row_id"), "record_id")
 
 
 def ref_matched(spark: SparkSession, d: str) -> DataFrame:
-    return match_records(*_unified_inputs(spark, d))
+    registry, reports = _unified_inputs(spark, d)
+    ids = reports.select(F.col("_ord").alias("p_ord"), "record_id")
+    return match_records(registry, reports).join(ids, "p_ord").select(F.col("m_ord").alias("row_id"), "record_id", "name_score", "distance_km")
 
 
 def ref_unified(spark: SparkSession, d: str) -> DataFrame:
@@ -272,7 +281,8 @@ named AS (SELECT DISTINCT rn, record_id, coalesce({_map_sql(FUSION_COMMODITIES,
     age = "CASE " + " ".join(f"WHEN regexp_matches(both_, '(?i)\\b{w}\\b') THEN '{w}'" for w in AGE_KEYWORDS) + " END"
     collapse = lambda c: f"nullif(trim(regexp_replace({c}, '\\s+', ' ', 'g')), '')"
     km = "2 * 6371.0088 * asin(sqrt(least(1, pow(sin(radians(p.latitude - m.latitude) / 2), 2) + cos(radians(m.latitude)) * cos(radians(p.latitude)) * pow(sin(radians(p.longitude - m.longitude) / 2), 2))))"
-    colors = "CASE {} WHEN 'gold' THEN '218,165,32,190' WHEN 'silver' THEN '190,190,200,180' WHEN 'copper' THEN '184,115,51,185' WHEN 'lead' THEN '100,110,130,180' WHEN 'zinc' THEN '70,130,180,180' WHEN 'rare earth elements' THEN '78,121,167,190' WHEN 'niobium' THEN '126,87,194,185' END"
+    rgba = lambda c: ",".join(map(str, c))
+    colors = "CASE {} " + " ".join(f"WHEN '{k}' THEN '{rgba(v)}'" for k, v in COMMODITY_COLORS.items()) + " END"
     known = f"latitude IS NOT NULL AND longitude IS NOT NULL"
     return {
         "ref_normalized_registry": f"""WITH {_BASE}, {_SPLIT}
@@ -297,7 +307,7 @@ SELECT r.record_id, coalesce(a.names, '') AS names, coalesce(a.n, 0)::INT AS n F
   AND (({_number('tonnage')}) IS NULL OR ({_number('tonnage')}) >= 0) AND (confidence_score IS NULL OR confidence_score BETWEEN 0 AND 1), false) AS valid, count(*) AS n FROM deposit_statements GROUP BY 1""",
         "ref_parsed_mentions": "SELECT record_id, site_name, latitude, longitude, grade, tonnage FROM report_deposits",
         "ref_distance_pairs": f"""WITH {_BASE}, m AS (SELECT * FROM base WHERE record_id IS NOT NULL AND {_PLACED}),
-p AS (SELECT DISTINCT record_id, latitude, longitude FROM report_deposits WHERE latitude IS NOT NULL AND longitude IS NOT NULL)
+p AS (SELECT record_id, min_by(latitude, extracted_at) AS latitude, min_by(longitude, extracted_at) AS longitude FROM report_deposits WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1)
 SELECT p.record_id, count(*) AS n, min(m.row_id) AS first_row FROM m JOIN p ON abs(m.latitude - p.latitude) < 0.46 AND {km} <= 50 GROUP BY 1""",
         "ref_deduped": f"""WITH {_BASE} SELECT row_id FROM (
 SELECT row_id, row_number() OVER (PARTITION BY {_KEY.format('site_name')}, round(latitude, 4), round(longitude, 4) ORDER BY row_id) AS place FROM base WHERE record_id IS NOT NULL AND {_PLACED}) WHERE place = 1""",
@@ -317,7 +327,7 @@ GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""",
         "ref_preview": """SELECT record_id, site_name, latitude, longitude, coalesce(array_to_string(commodities, ', '), '') AS commodities, source, confidence_score
 FROM deposit_statements ORDER BY statement_id LIMIT 1000""".replace("confidence_score\n", "confidence_score, ").replace(", FROM", " FROM").replace("confidence_score, FROM", "confidence_score FROM"),
         "ref_map_points": f"""SELECT statement_id, latitude, longitude, coalesce(array_to_string(commodities, ', '), '') AS commodity_label,
-  coalesce(list_filter(list_transform(commodities, lambda x: {colors.format(f'lower(trim(x, {_WS}))')}), lambda x: x IS NOT NULL)[1], '52,152,219,165') AS color FROM {_POINTS}""",
+  coalesce(list_filter(list_transform(commodities, lambda x: {colors.format(f'lower(trim(x, {_WS}))')}), lambda x: x IS NOT NULL)[1], '{rgba(DEFAULT_COLOR)}') AS color FROM {_POINTS}""",
         "ref_map_center": f"SELECT round(avg(latitude), 6) AS latitude, round(avg(longitude), 6) AS longitude FROM {_POINTS}",
         "ref_quality": f"""SELECT count(*) AS rows, count(*) FILTER ({known}) AS rows_with_coordinates, 0::BIGINT AS rows_with_geometry,
   count(*) FILTER ({known} AND NOT {_PLACED}) AS invalid_coordinates, count(*) FILTER (commodities IS NOT NULL) AS list_commodities,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import json
 import os
 import uuid
@@ -114,9 +116,23 @@ def write_csv(df: DataFrame, path: str) -> None:
     flat_for_csv(df).write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
 
 
-def csv_bytes(df: DataFrame, limit: int = 100_000) -> bytes:
-    """A download of at most ``limit`` rows."""
-    return flat_for_csv(df).limit(limit).toPandas().to_csv(index=False).encode()
+def csv_bytes(df: DataFrame) -> bytes:
+    """A download of all rows; the caller sees to it that they fit the driver, :func:`write_csv` has no such bound."""
+    out = io.StringIO()
+    flat = flat_for_csv(df)
+    writer = csv.writer(out, lineterminator="\n")
+    writer.writerow(flat.columns)
+    writer.writerows(flat.toLocalIterator(prefetchPartitions=True))
+    return out.getvalue().encode()
+
+
+def geoparquet_bytes(df: DataFrame) -> bytes:
+    """A download of all rows as one GeoParquet file, written part by part to memory."""
+    df = df if "geometry" in df.columns else with_points(df)
+    table = df.toArrow()
+    out = io.BytesIO()
+    pq.write_table(table.replace_schema_metadata({**(table.schema.metadata or {}), b"geo": geo_metadata(["Point"])}), out, compression="zstd")
+    return out.getvalue()
 
 
 def layer_of_upload(names: list[str]) -> str | None:

@@ -17,6 +17,7 @@ from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 from oreweave.functions.constants import GEOLOGY_ALIASES
 from oreweave.functions.wkb import multipolygon_wkb, polygon_wkb
 from oreweave.operators.registry import any_case_alias
+from oreweave.session import cut_lineage
 
 GEOGRAPHIC = ("WGS_1984", "WGS 84", "WGS84", "NORTH_AMERICAN_1983", "NAD83", "CRS84")
 
@@ -136,7 +137,7 @@ def geojson_wkb(geometry: str | None) -> bytes | None:
 
 
 def _read_geojson(spark: SparkSession, path: str) -> DataFrame:
-    wkb = F.udf(geojson_wkb, BinaryType())  # a layer has few rows; parsing is per geometry
+    wkb = F.pandas_udf(lambda g: g.map(geojson_wkb), BinaryType())
     whole = spark.read.text(path, wholetext=True)
     crs = F.get_json_object("value", "$.crs.properties.name")
     for row in whole.select(crs.alias("c")).where("c is not null").distinct().limit(10).collect():
@@ -187,4 +188,5 @@ def load_geology(spark: SparkSession, path: str) -> DataFrame:
     """(unit_id, geometry, geologic_unit, geology_description, geologic_age_raw, lithology_raw): attributes by alias."""
     layer = read_layer(spark, path)
     picked = [any_case_alias(layer, a).cast("string").alias(f) for f, a in GEOLOGY_ALIASES.items()]
-    return layer.select(F.monotonically_increasing_id().alias("unit_id"), "geometry", *picked)
+    # read more than once by the joins, with other columns each time: numbered once
+    return cut_lineage(layer.select(F.monotonically_increasing_id().alias("unit_id"), "geometry", *picked))

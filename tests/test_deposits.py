@@ -150,3 +150,74 @@ def test_analytics(spark):
 def test_points(spark):
     row = spark.createDataFrame([(1.5, 2.5), (None, 1.0)], "lon double, lat double").select(point(F.col("lon"), F.col("lat")).alias("g")).collect()
     assert bytes(row[0]["g"]) == point_wkb(1.5, 2.5) and row[1]["g"] is None
+
+
+def test_a_chain_of_reports_is_served_in_order(spark):
+    from oreweave.operators.fusion import assign_one_to_one
+
+    # report k likes row k - 1 best and row k second, so each choice waits for the one before
+    rows = [(k, k, 60.0) for k in range(1000)] + [(k - 1, k, 70.0) for k in range(1, 1000)] + [(0, 0, 70.0)]
+    pairs = spark.createDataFrame(rows, "m_ord long, p_ord long, score double").repartition(7)
+    taken, expected = set(), set()
+    for p in range(1000):
+        best = sorted((-s, m) for m, q, s in rows if q == p and m not in taken)
+        if best:
+            taken.add(best[0][1])
+            expected.add((best[0][1], p))
+    for at_once in 2_000_000, 1990:
+        got = {(r["m_ord"], r["p_ord"]) for r in assign_one_to_one(pairs, at_once).collect()}
+        assert got == expected
+
+
+def test_assignment_equals_the_serial_one(spark):
+    import random
+
+    from oreweave.operators.fusion import assign_one_to_one
+
+    rng = random.Random(2)
+    rows = sorted({(rng.randrange(60), rng.randrange(60), float(rng.randrange(4))) for _ in range(900)})
+    rows = list({(m, p): (m, p, s) for m, p, s in rows}.values())
+    taken, expected = set(), set()
+    for p in range(60):
+        best = sorted((-s, m) for m, q, s in rows if q == p and m not in taken)
+        if best:
+            taken.add(best[0][1])
+            expected.add((best[0][1], p))
+    pairs = spark.createDataFrame(rows, "m_ord long, p_ord long, score double").repartition(5)
+    for at_once in 10_000, 100, 0:
+        assert {(r["m_ord"], r["p_ord"]) for r in assign_one_to_one(pairs, at_once).collect()} == expected
+    assert assign_one_to_one(pairs.limit(0)).count() == 0
+
+
+def test_ordinals_are_the_same_in_every_evaluation(spark):
+    from oreweave.plans.pipelines import ordered
+
+    df = spark.range(30_000).selectExpr("id % 9973 AS a", "repeat('x', cast(id % 50 AS int)) AS wide", "id").repartition(16)
+    numbered = ordered(df, "a", "id")
+    narrow = {r["id"]: r["_ord"] for r in numbered.select("id", "_ord").collect()}
+    assert narrow == {r["id"]: r["_ord"] for r in numbered.select("id", "wide", "_ord").collect()} and len(set(narrow.values())) == 30_000
+
+
+def test_merging_finds_every_similar_name(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    from oreweave.functions.text import site_key  # noqa: F401
+    from oreweave.operators.reports import merge_mentions
+
+    rng = random.Random(1)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(6, 18))) for _ in range(25)]
+    names = [b if rng.random() < 0.3 else b[: (i := rng.randrange(len(b)))] + rng.choice("abcdz") + b[i + rng.randint(0, 1) :] for b in base * 6]
+    rng.shuffle(names)
+    rows = [("d", 0, i, n, None, None, None, None, None) for i, n in enumerate(names)]
+    schema = "doc_id string, chunk_no int, item int, site_name string, latitude double, longitude double, commodities array<string>, grade double, tonnage double"
+    records = []
+    for n in names:
+        home = next((r for r in records if n == r[0] or SequenceMatcher(None, n, r[0]).ratio() >= 0.88), None)
+        if home is None:
+            records.append([n, 1])
+        else:
+            home[1] += 1
+            home[0] = n if len(n) > len(home[0]) else home[0]
+    got = sorted((r["cluster"], r["site_name"], r["appearances"]) for r in merge_mentions(spark.createDataFrame(rows, schema)).collect())
+    assert got == [(i, n, k) for i, (n, k) in enumerate(records)]

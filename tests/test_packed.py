@@ -36,3 +36,12 @@ def test_plan_is_narrow(spark):
     df = spark.createDataFrame([(1, "AU,CU")], "row_id long, code_list string")
     plan = unpack_values(df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_signs_of_the_placeholders_are_ordinary_text(spark):
+    cells = ["n\ue003a, gold", "\ue0000\ue001;'a,b';x\ue002", "'q\ue003',n/a,\ue000\ue003"]
+    df = spark.createDataFrame(list(enumerate(cells)), "row_id long, code_list string")
+    got = {}
+    for r in unpack_values(df).orderBy("row_id", "pos").collect():
+        got.setdefault(r["row_id"], []).append(r["packed_value"])
+    assert got == {0: ["n\ue003a", "gold"], 1: ["\ue0000\ue001", "a,b", "x\ue002"], 2: ["q\ue003", "\ue000\ue003"]}
