@@ -1,4 +1,4 @@
-"""Other names of listed materials and ages, by language and trade; and names that are not listed.
+"""Other names of listed materials and ages, by language and trade; and names of others that are not listed.
 
 One line per entry: the canonical term, then what people write for it.  The
 lists are parameters of the operator; another canonical list brings its own.
@@ -94,17 +94,13 @@ proterozoic: proterozoico, protérozoïque, proterozoikum, протерозой,
 archean: archaean, arcaico, arqueano, archéen, archaikum, архей, 太古代, 太古宙, arch
 """
 
-#: Names and remarks that mean nothing listed; near them a typo is theirs.
+#: Elements, minerals, rocks and ages of the common vocabulary that are not listed; near them a typo is theirs.
 UNLISTED = {
-    "commodity": "helium, cement rock, peat, diamond, none seen, various, garnet sand, jade, river pebbles, silica, "
-    "unknown, to be checked, ballast, iridium, tincal, borax, amber, stone, see assay, garnet, coal, rhodium, osmium, selenium, "
-    "gallium, germanium, cadmium, thorium, hafnium, rhenium, magnesium, salt, clay, sand, gravel, asbestos, talc, mica",
-    "lithology": "lignite, anthracite, dolerite, limonite, rock salt, chert, meteorite, river water, timber set, void, "
-    "fill, core lost, not logged, see sketch, as above, to be checked, unknown, n.d, coal, laterite, bauxite, gypsum, "
-    "anhydrite, loess, till, phonolite, trachyte, tonalite, hornfels, mylonite, water, timber, none, various, soil, dacite",
-    "geologic_age": "devlin beds, pergaman, young, old, pending, undated, various, unknown, see map, ask the mapper, "
-    "not determined, as above, post-flood, pre-mining, n.d, neogene, paleogene, quaternary, tertiary, mesozoic, "
-    "cenozoic, paleozoic, precambrian, hadean, ediacaran, summer, anthropocene, modern, recent",
+    "commodity": "helium, peat, diamond, jade, silica, iridium, tincal, borax, amber, garnet, coal, rhodium, osmium, selenium, gallium, "
+    "germanium, cadmium, thorium, hafnium, rhenium, magnesium, salt, clay, sand, gravel, asbestos, talc, mica",
+    "lithology": "lignite, anthracite, dolerite, limonite, rock salt, chert, meteorite, coal, laterite, bauxite, gypsum, anhydrite, loess, "
+    "till, phonolite, trachyte, tonalite, hornfels, mylonite, dacite",
+    "geologic_age": "neogene, paleogene, quaternary, tertiary, mesozoic, cenozoic, paleozoic, precambrian, hadean, ediacaran, anthropocene",
 }
 
 #: Words that may be added to a name without changing what it means.

@@ -2,10 +2,11 @@
 
 Values are normalised and looked up by a character n-gram inverted index over
 the canonical terms, their codes and their other names.  A candidate is scored
-by the cosine of its inverse-frequency weighted n-grams; it is accepted above a
-threshold and with a margin over the best candidate of any other term, after an
-edit-distance check.  Names known not to be listed are entries too, so a value
-close to one of them is not pulled to the list.
+by the cosine of its inverse-frequency weighted n-grams; candidates above a
+threshold are verified by their edit distance, and the best of them is accepted
+if it leads the best of any other term by a margin; within the margin fewer
+edits decide.  Names of materials and ages that are not listed are entries too,
+so a value close to one of them is not pulled to the list.
 
 The index has as many entries as the list and its alias tables, whatever the
 data.  Values are deduplicated per Arrow batch and remembered per worker, so the
@@ -29,9 +30,9 @@ from pyspark.sql import types as T
 
 from oreweave.llm.aliases import ALIASES, QUALIFIERS, UNLISTED
 
-#: Least cosine of an accepted candidate, and least lead over the best of another term at equal edits.
-THRESHOLD = 0.1
-MARGIN = 0.02
+#: Least cosine of an accepted candidate, and least lead over the best of another term.
+THRESHOLD = 0.25
+MARGIN = 0.05
 MOST_TERMS = 100_000
 
 _SPACE = re.compile(r"\s+")
@@ -47,9 +48,17 @@ def normalise(value: str) -> str:
 
 
 def grams(text: str) -> set[str]:
-    """Bigrams and trigrams of the text between end marks."""
+    """Letters, bigrams in either order, and pairs one letter apart, of the text between end marks.
+
+    A typing error spoils few of them: a swap leaves the unordered bigram, a
+    wrong letter the pair around it.
+    """
     s = f"^{text}$"
-    return {s[i : i + n] for n in (2, 3) for i in range(len(s) - n + 1)}
+    out = set(text)
+    for a, b in zip(s, s[1:]):
+        out.update((a + b, f"~{min(a, b)}{max(a, b)}"))
+    out.update(f"{a}_{b}" for a, b in zip(s, s[2:]))
+    return out
 
 
 def edit_distance(a: str, b: str, most: int) -> int:
@@ -70,9 +79,10 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return row[-1]
 
 
-def allowed_edits(length: int) -> int:
-    """Edits within which a written name still counts as the entry."""
-    return 0 if length < 3 else 1 if length < 5 else 2 if length < 8 else 3
+def allowed_edits(length: int, listed: bool = True) -> int:
+    """Edits within which a written name still counts as the entry; one less for another name of some length."""
+    most = 0 if length < 4 else 1 if length < 5 else 2 if length < 8 else 3
+    return most if listed or most < 2 else most - 1
 
 
 class Index:
@@ -93,6 +103,7 @@ class Index:
             if u.strip():
                 names.setdefault(normalise(u), 0)
         self.names = names
+        self.most_words = max((n.count(" ") + 1 for n in names), default=1)
         self.entries = sorted(names.items())
         postings: dict[str, list[int]] = defaultdict(list)
         for k, (name, _) in enumerate(self.entries):
@@ -124,31 +135,24 @@ class Index:
         return self.codes.get(text)
 
     def nearest(self, text: str, threshold: float = THRESHOLD, margin: float = MARGIN) -> tuple[int, float] | None:
-        """(term_id, score) of the accepted candidate; None if none is accepted.
-
-        Edits weigh more than the cosine among candidates: fewest edits first.
-        """
-        if len(text) < 4:
-            return None
-        best: list[tuple[int, float, str, int]] = []
+        """(term_id, score) of the accepted candidate; None if none is accepted."""
+        best: dict[int, tuple[float, int]] = {}
         for score, name, term in self.candidates(text):
             if score < threshold:
                 break
-            if len(name) < 4:
+            if term in best and best[term][0] - score >= margin:
                 continue
-            most = min(allowed_edits(len(name)), allowed_edits(len(text)))
+            most = allowed_edits(min(len(name), len(text)), name in self.listed)
             d = edit_distance(text, name, most)
-            if d <= most:
-                # typing errors befall the listed spelling sooner than another name
-                best.append((d + (name not in self.listed), -score, name, term))
+            if d <= most and (term not in best or d < best[term][1]):
+                best[term] = (max(score, best.get(term, (0.0, 0))[0]), d)
         if not best:
             return None
-        best.sort()
-        d, score, _, term = best[0]
-        rivals = [x for x in best if x[3] != term]
-        if rivals and rivals[0][0] == d and rivals[0][1] - score < margin:
+        lead = max(x for x, _ in best.values())
+        close = sorted((d, -x, t) for t, (x, d) in best.items() if lead - x < margin)
+        if len(close) > 1 and close[0][0] == close[1][0]:
             return None
-        return term, -score
+        return close[0][2], -close[0][1]
 
     def term_of(self, value: str) -> tuple[int, float]:
         """(term_id, confidence) that a value means; (0, confidence) if it names nothing listed."""
@@ -164,7 +168,7 @@ class Index:
         tokens = [re.sub("^mid-(?=.)", "", t) for t in tokens if t]
         rest = [t for t in tokens if t not in QUALIFIERS]
         # a name with words around it, longest first
-        for n in range(min(4, len(tokens)), 0, -1):
+        for n in range(min(self.most_words, len(tokens)), 0, -1):
             hits = {self.lookup(" ".join(tokens[i : i + n])) for i in range(len(tokens) - n + 1)} - {None}
             named = [i for i in range(len(tokens) - n + 1) if self.lookup(" ".join(tokens[i : i + n])) is not None]
             others = [t for k, t in enumerate(tokens) if not any(i <= k < i + n for i in named) and t not in QUALIFIERS]
@@ -177,7 +181,7 @@ class Index:
                 near = self.nearest(body)
                 if near is not None:
                     return near
-        if 1 < len(rest) <= 6:
+        if len(rest) > 1:
             found = {near for t in rest if (near := self.nearest(t))}
             terms = {t for t, _ in found}
             if len(terms) == 1 and len(rest) - sum(self.nearest(t) is not None for t in rest) == 0:
