@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -81,3 +82,19 @@ def _points(lon: pd.Series, lat: pd.Series) -> pd.Series:
 def point(lon: Column, lat: Column) -> Column:
     """WKB point; null if a coordinate is null."""
     return _points(lon.cast("double"), lat.cast("double"))
+
+
+@F.pandas_udf(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
+def _places(points: pd.Series) -> pd.DataFrame:
+    rows = []
+    for b in points:
+        order = "<" if b is not None and len(b) >= 21 and b[0] == 1 else ">"
+        is_point = b is not None and len(b) >= 21 and struct.unpack_from(order + "I", b, 1)[0] & 0xFF == 1
+        rows.append(struct.unpack_from(order + "dd", b, 5) if is_point else (None, None))
+    return pd.DataFrame(rows, columns=["x", "y"], dtype="float64")
+
+
+def point_place(geometry: Column) -> Column:
+    """struct(x, y) of a WKB point in either byte order, nulls for anything else."""
+    place = _places(geometry)
+    return F.struct(F.nanvl(place["x"], F.lit(None)).alias("x"), F.nanvl(place["y"], F.lit(None)).alias("y"))

@@ -109,6 +109,16 @@ def map_center(points: DataFrame) -> DataFrame:
     return points.agg(F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude"))
 
 
+def commodity_examples(df: DataFrame, n: int = 10, order: str = "record_id") -> DataFrame:
+    """The first ``n`` commodity lists that are not empty."""
+    return df.where(F.size("commodities") > 0).select(order, "commodities").orderBy(order, "commodities").limit(n)
+
+
+def text_prefix(text: Column, n: int = 1400) -> Column:
+    """The first characters of a report text, as shown beside its records."""
+    return F.substring(text, 1, n)
+
+
 def quality_report(df: DataFrame) -> DataFrame:
     """One row of data-quality counts; absent required columns are listed in ``missing_columns``."""
     missing = [c for c in REQUIRED_COLUMNS if c not in df.columns]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from oreweave.operators.enrich import spatial_join
 from oreweave.operators.fusion import build_unified, match_counts
-from oreweave.operators.registry import normalize_registry, prepare_report_records, registry_to_unified, reports_to_unified, split_valid, valid_registry
+from oreweave.operators.registry import dropped_counts, normalize_registry, prepare_report_records, registry_to_unified, reports_to_unified, split_valid, valid_registry
 from oreweave.operators.reports import explode_mentions, merge_mentions
 from oreweave.session import cut_lineage
 from oreweave.sources.delimited import read_delimited
@@ -23,10 +23,15 @@ def ingest_delimited(spark: SparkSession, path: str, sep: str | None = None) ->
 
 def ingest_documents(spark: SparkSession, path: str, extractor: Extractor, max_tokens: int = 1500) -> DataFrame:
     """Valid report records, one per site and document."""
+    return split_documents(spark, path, extractor, max_tokens)[0]
+
+
+def split_documents(spark: SparkSession, path: str, extractor: Extractor, max_tokens: int = 1500) -> tuple[DataFrame, DataFrame]:
+    """(valid report records, records rejected because they break the model's bounds)."""
     chunks = chunk_documents(read_documents(spark, path), "path", "text", max_tokens)
     mentions = explode_mentions(extract_responses(chunks, extractor), "path")
     prepared = prepare_report_records(merge_mentions(mentions, "path"), F.col("path"))
-    return split_valid(prepared)[0]
+    return split_valid(prepared)
 
 
 def ordered(df: DataFrame, *by: str) -> DataFrame:
@@ -52,6 +57,11 @@ def enrich(deposits: DataFrame, layer: DataFrame) -> DataFrame:
     return spatial_join(keyed, layer).drop("_ord")
 
 
+def dropped_rows(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
+    """(reason, n) of the rows of a delimited file that ingestion drops."""
+    return dropped_counts(normalize_registry(read_delimited(spark, path, sep)))
+
+
 def run_ingest(spark: SparkSession, source: str, target: str) -> DataFrame:
     return write_geoparquet(with_points(ingest_delimited(spark, source).drop("_ord")), target)
 

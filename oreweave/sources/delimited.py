@@ -27,14 +27,16 @@ def sniff_delimiter(spark: SparkSession, path: str) -> str:
     return choose_delimiter(lines[0]["value"][:HEAD_BYTES] if lines else "")
 
 
-def read_delimited(spark: SparkSession, path: str, sep: str | None = None, mode: str = "PERMISSIVE") -> DataFrame:
+def read_delimited(spark: SparkSession, path: str, sep: str | None = None, mode: str = "PERMISSIVE", multi_line: bool = False) -> DataFrame:
     """All columns as text, with ``_ord``, the order of rows in the file.
 
     A doubled quote inside a quoted field is a quote; empty fields stay '', short
     rows are filled with null.  ``mode`` is Spark's for malformed rows.
+    Large files are read in splits; fields that hold line breaks need
+    ``multi_line``, which makes each file one task.
     """
     rows = spark.read.csv(
-        path, sep=sep or sniff_delimiter(spark, path), header=True, inferSchema=False, quote='"', escape='"', multiLine=True,
+        path, sep=sep or sniff_delimiter(spark, path), header=True, inferSchema=False, quote='"', escape='"', multiLine=multi_line,
         mode=mode, emptyValue="", nullValue="\u0000", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
     return rows.withColumn("_ord", F.monotonically_increasing_id())

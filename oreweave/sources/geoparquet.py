@@ -10,13 +10,15 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs as fs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from oreweave.functions.geo import in_range
-from oreweave.functions.udfs import point
+from oreweave.functions.udfs import point, point_place
 
 _cache: dict[tuple[int, str], DataFrame] = {}
 
@@ -27,55 +29,80 @@ def with_points(df: DataFrame) -> DataFrame:
     return df.withColumn("geometry", point(F.when(ok, F.col("longitude")), F.when(ok, F.col("latitude"))))
 
 
+def with_coordinates(df: DataFrame) -> DataFrame:
+    """The frame with ``longitude`` and ``latitude`` of its WKB points, null for other geometries."""
+    place = point_place(F.col("geometry"))
+    return df.withColumns({"longitude": place["x"], "latitude": place["y"]})
+
+
 def geo_metadata(types: list[str]) -> bytes:
     column = {"encoding": "WKB", "geometry_types": types}
     return json.dumps({"version": "1.0.0", "primary_column": "geometry", "columns": {"geometry": column}}).encode()
 
 
+def _store(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a local folder or a URI such as hdfs:// or s3://."""
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), os.path.abspath(path.removeprefix("file:"))
+
+
 def write_geoparquet(df: DataFrame, path: str, single_file: bool = False, types: tuple[str, ...] = ("Point",)) -> DataFrame:
     """Writes parts with the ``geo`` footer that Spark's own writer cannot set; returns (file, n) of the parts.
 
-    ``path`` is a folder that all executors share.  Each task writes to a hidden
-    name and renames it at its end, so a task that is retried leaves no second
-    part under a visible name.  Longitude/latitude in WGS84, the format's default.
+    ``path`` is a folder that all executors share, local or a URI.  Tasks write
+    to a folder that readers skip; when all have ended, their parts are moved in
+    and only then the old ones go, so a job that fails leaves the old data, and
+    a table can be written onto the one it was read from.  A frame without rows
+    gives one part without rows.  Longitude/latitude in WGS84, the format's default.
     """
     if "geometry" not in df.columns:
         df = with_points(df)
-    folder = path.removeprefix("file:")
-    os.makedirs(folder, exist_ok=True)
     run = uuid.uuid4().hex[:12]
-    for old in os.listdir(folder):
-        if old.endswith(".parquet"):
-            os.remove(os.path.join(folder, old))
+    store, folder = _store(path)
+    hidden = f"{folder}/_run-{run}"
+    store.create_dir(hidden, recursive=True)
     footer = {b"geo": geo_metadata(list(types))}
+    empty = to_arrow_schema(df.schema).with_metadata(footer)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
-        final = os.path.join(folder, f"part-{part:05d}-{run}.parquet")
-        hidden = f"{final}.{TaskContext.get().taskAttemptId()}.tmp"
+        at, _ = _store(path)
+        name = f"part-{TaskContext.get().partitionId():05d}-{run}.parquet"
+        mine = f"{hidden}/{name}.{TaskContext.get().taskAttemptId()}"
         writer, n = None, 0
         for b in batches:
             schema = b.schema.with_metadata({**(b.schema.metadata or {}), **footer})
-            writer = writer or pq.ParquetWriter(hidden, schema, compression="zstd")
+            writer = writer or pq.ParquetWriter(mine, schema, compression="zstd", filesystem=at)
             writer.write_batch(b.cast(schema) if b.schema != schema else b)
             n += b.num_rows
         if writer:
             writer.close()
-            os.replace(hidden, final)
-        yield pa.RecordBatch.from_pydict({"file": [final] if writer else [None], "n": [n]}, schema=pa.schema([("file", pa.string()), ("n", pa.int64())]))
+        yield pa.RecordBatch.from_pydict({"file": [mine if writer else None], "n": [n]}, schema=pa.schema([("file", pa.string()), ("n", pa.int64())]))
 
     parts = df.coalesce(1) if single_file else df
-    report = parts.mapInArrow(write, "file string, n long").where("file is not null").toPandas()
+    written = [(r["file"], r["n"]) for r in parts.mapInArrow(write, "file string, n long").where("file is not null").toLocalIterator()]
+    if not written:
+        pq.write_table(empty.empty_table(), f"{hidden}/part-00000-{run}.parquet.0", filesystem=store)
+        written = [(f"{hidden}/part-00000-{run}.parquet.0", 0)]
+    old = [f.path for f in store.get_file_info(fs.FileSelector(folder)) if f.path.endswith(".parquet")]
+    report = []
+    for file, n in written:
+        final = f"{folder}/{file.rsplit('/', 1)[1].rsplit('.', 1)[0]}"
+        store.move(file, final)
+        report.append((final, n))
+    for file in old:
+        store.delete_file(file)
+    store.delete_dir(hidden)
     return df.sparkSession.createDataFrame(report, "file string, n long")
 
 
 def read_geoparquet(spark: SparkSession, path: str) -> DataFrame:
-    """A GeoParquet or plain Parquet table, points built where there is no geometry column."""
+    """A GeoParquet or plain Parquet table: points built where there is no geometry column, coordinates read where there are none."""
     df = spark.read.parquet(path)
     if "geometry" in df.columns:
-        return df
+        return df if {"latitude", "longitude"} <= set(df.columns) else with_coordinates(df)
     if not {"latitude", "longitude"} <= set(df.columns):
         raise ValueError(f"{path} has neither a geometry nor coordinates")
     return with_points(df)

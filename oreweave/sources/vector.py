@@ -156,26 +156,62 @@ def gpkg_wkb(blob: bytes | None) -> bytes | None:
     return bytes(blob[8 + envelope :])
 
 
-def _read_gpkg(spark: SparkSession, path: str, table: str | None) -> DataFrame:
-    with sqlite3.connect(f"file:{path.removeprefix('file:')}?mode=ro", uri=True) as db:
+class GeopackageSource(DataSource):
+    """format("geopackage"): attributes as text and ``geometry`` as WKB of one table, in partitions of row ids."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "geopackage"
+
+    def _open(self) -> tuple[sqlite3.Connection, str, str]:
+        path = self.options["path"]
+        db = sqlite3.connect(f"file:{path.removeprefix('file:')}?mode=ro", uri=True)
         found = db.execute("select table_name, column_name, srs_id from gpkg_geometry_columns").fetchall()
-        name, column, srs = next((f for f in found if table in (None, f[0])), (None, None, None))
+        table = self.options.get("table")
+        name, column, srs = next((f for f in found if table in (None, "", f[0])), (None, None, None))
         if name is None or not re.fullmatch(r"[\w .-]+", name):
             raise ValueError(f"no geometry table in {path}")
         if srs not in (4326, 4269, 0, -1):
             raise ValueError(f"unsupported coordinate reference system: EPSG {srs}")
-        cursor = db.execute(f'select * from "{name}"')
-        names = [d[0] for d in cursor.description]
-        rows = [tuple(gpkg_wkb(v) if n == column else None if v is None else str(v) for n, v in zip(names, r)) for r in cursor]
-    fields = [StructField("geometry" if n == column else n, BinaryType() if n == column else StringType()) for n in names]
-    return spark.createDataFrame(rows, StructType(fields))
+        return db, name, column
+
+    def schema(self) -> StructType:
+        db, name, column = self._open()
+        names = [d[0] for d in db.execute(f'select * from "{name}" limit 0').description]
+        db.close()
+        return StructType([StructField("geometry" if n == column else n, BinaryType() if n == column else StringType()) for n in names])
+
+    def reader(self, schema: StructType) -> DataSourceReader:
+        return _GeopackageReader(self)
+
+
+class _GeopackageReader(DataSourceReader):
+    ROWS = 20_000
+
+    def __init__(self, source: GeopackageSource):
+        self.source = source
+
+    def partitions(self) -> list[InputPartition]:
+        db, name, _ = self.source._open()
+        low, high = db.execute(f'select min(rowid), max(rowid) from "{name}"').fetchone()
+        db.close()
+        return [InputPartition((at, at + self.ROWS)) for at in range(low or 0, (high or 0) + 1, self.ROWS)]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        db, name, column = self.source._open()
+        cursor = db.execute(f'select * from "{name}" where rowid >= ? and rowid < ? order by rowid', partition.value)
+        shape = [d[0] for d in cursor.description].index(column)
+        for row in cursor:
+            yield tuple(gpkg_wkb(v) if i == shape else None if v is None else str(v) for i, v in enumerate(row))
+        db.close()
 
 
 def read_layer(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
     """Any supported layer with its own attribute columns and ``geometry``."""
     kind = path.rsplit(".", 1)[-1].lower()
     if kind == "gpkg":
-        return _read_gpkg(spark, path, table)
+        spark.dataSource.register(GeopackageSource)
+        return spark.read.format("geopackage").option("table", table or "").load(path)
     if kind in ("geojson", "json"):
         return _read_geojson(spark, path)
     if kind == "parquet":

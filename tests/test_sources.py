@@ -38,6 +38,48 @@ def test_geoparquet_round_trip(spark, tmp_path):
     assert layer_of_upload(["a.shp", "b.dbf"]) == "a.shp"
 
 
+def test_a_table_is_written_onto_itself_and_survives_a_failure(spark, tmp_path):
+    from oreweave.sources.geoparquet import geoparquet_bytes
+
+    out = str(tmp_path / "geo")
+    df = spark.createDataFrame([(str(i), float(i), 2.0) for i in range(9)], "record_id string, latitude double, longitude double").repartition(3)
+    write_geoparquet(df, out)
+    write_geoparquet(read_geoparquet(spark, out).where("latitude > 3"), out)
+    assert read_geoparquet(spark, out).count() == 5
+    with pytest.raises(Exception, match="boom"):
+        write_geoparquet(read_geoparquet(spark, out).selectExpr("raise_error('boom') AS record_id", "latitude", "longitude", "geometry"), out)
+    assert read_geoparquet(spark, out).count() == 5
+    write_geoparquet(df.limit(0), "file:" + out)
+    assert read_geoparquet(spark, out).count() == 0 and "geometry" in spark.read.parquet(out).columns
+    table = pq.read_table(__import__("io").BytesIO(geoparquet_bytes(df)))
+    assert table.num_rows == 9 and b"geo" in table.schema.metadata
+    assert csv_bytes(df).count(b"\n") == 10
+
+
+def test_points_without_coordinate_columns(spark, tmp_path):
+    from oreweave.plans.pipelines import enrich
+
+    df = with_points(spark.createDataFrame([("1", 1.0, 2.0), ("2", None, 2.0)], "record_id string, latitude double, longitude double"))
+    df.drop("latitude", "longitude").write.parquet(str(tmp_path / "bare"))
+    back = read_geoparquet(spark, str(tmp_path / "bare"))
+    assert sorted((r["record_id"], r["latitude"], r["longitude"]) for r in back.collect()) == [("1", 1.0, 2.0), ("2", None, None)]
+    shapefile(tmp_path / "units")
+    rich = {r["record_id"]: r["geologic_unit"] for r in enrich(back, load_geology(spark, str(tmp_path / "units.shp"))).collect()}
+    assert rich == {"1": "Tuff bed", "2": None}
+
+
+def test_verbs_quality_and_dropped_rows(spark, tmp_path, capsys):
+    import oreweave
+
+    assert all(callable(getattr(oreweave, v)) for v in oreweave.__all__)
+    (tmp_path / "r.tsv").write_text(HEAD + "1\t10\tA\tP\tu\tAG\t-106.9\t37.8\n2\t\tB\tP\tu\tAU\t1\t1\n3\t12\tC\tP\tu\tAU\t1\t95\n")
+    main(["ingest", str(tmp_path / "r.tsv"), "-o", str(tmp_path / "reg")])
+    assert json.loads(capsys.readouterr().out)["dropped"] == {"no_id": 1, "out_of_range": 1}
+    main(["quality", str(tmp_path / "reg")])
+    shown = json.loads(capsys.readouterr().out)
+    assert shown["rows"] == 1 and shown["rows_with_geometry"] == 1 and shown["commodity_examples"] == [["silver"]]
+
+
 def shapefile(base):
     points = b"".join(struct.pack("<dd", *p) for p in SQUARE)
     body = struct.pack("<i4d", 5, 0, 0, 4, 4) + struct.pack("<iii", 1, len(SQUARE), 0) + points
