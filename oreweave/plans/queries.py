@@ -20,6 +20,7 @@ from oreweave.operators.reports import confidence, explode_mentions, merge_menti
 from oreweave.plans.pipelines import ordered
 from oreweave.session import table
 from oreweave.sources.documents import chunk_documents
+from oreweave.sources.geoparquet import with_points
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY_COLUMNS = ("row_id", "i", "dep_id", "name", "dev_stat", "url", "code_list", "longitude", "latitude")
@@ -175,6 +176,52 @@ def ref_rectangles_intersects(spark: SparkSession, d: str) -> DataFrame:
     return join_predicate(_customers(spark, d), _rectangles(spark, d), "intersects").select(F.col("_ord").alias("c_custkey"), "unit_id")
 
 
+def _rings(spark: SparkSession, d: str) -> DataFrame:
+    """The rectangles with a hole of two degrees by one in each."""
+
+    def build(batches):
+        for b in batches:
+            shapes = []
+            for k in b["k"]:
+                x, y = -110.0 + 8 * (k % 5), 30.0 + 4 * (k // 5)
+                hole = [(x + 2, y + 1), (x + 4, y + 1), (x + 4, y + 2), (x + 2, y + 2), (x + 2, y + 1)]
+                shapes.append(polygon_wkb([[(x, y), (x + 8, y), (x + 8, y + 4), (x, y + 4), (x, y)], hole]))
+            yield pd.DataFrame({"unit_id": b["k"], "geometry": shapes})
+
+    return table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("k")).mapInPandas(build, "unit_id long, geometry binary")
+
+
+def ref_rings_within(spark: SparkSession, d: str) -> DataFrame:
+    return join_predicate(_customers(spark, d), _rings(spark, d), "within").select(F.col("_ord").alias("c_custkey"), "unit_id")
+
+
+def ref_rings_intersects(spark: SparkSession, d: str) -> DataFrame:
+    return join_predicate(_customers(spark, d), _rings(spark, d), "intersects").select(F.col("_ord").alias("c_custkey"), "unit_id")
+
+
+def ref_confidence_repeated(spark: SparkSession, d: str) -> DataFrame:
+    times = _reports(spark, d).groupBy("record_id").agg(F.count("*").alias("n"))
+    df = _reports(spark, d).join(times, "record_id")
+    return df.groupBy(confidence(F.col("n")).alias("confidence")).agg(F.count("*").alias("records"))
+
+
+def ref_summary_geology(spark: SparkSession, d: str) -> DataFrame:
+    return analytics.summary(table(spark, d, "geology_observations"))
+
+
+def ref_quality_located(spark: SparkSession, d: str) -> DataFrame:
+    return analytics.quality_report(with_points(table(spark, d, "deposit_statements"))).drop("missing_columns")
+
+
+def ref_match_properties(spark: SparkSession, d: str) -> DataFrame:
+    """Of the one-to-one pairs: rows and reports used twice (none), pairs without a reason to match (none)."""
+    pairs = match_records(*_unified_inputs(spark, d))
+    return pairs.agg(
+        (F.count("*") - F.countDistinct("m_ord")).alias("rows_twice"), (F.count("*") - F.countDistinct("p_ord")).alias("reports_twice"),
+        F.count_if((F.col("name_score") < 88) & ~F.coalesce(F.col("distance_km") <= 50, F.lit(False))).alias("without_reason"),
+    )
+
+
 def ref_summary(spark: SparkSession, d: str) -> DataFrame:
     return analytics.summary(table(spark, d, "report_deposits"))
 
@@ -315,6 +362,18 @@ SELECT row_id, row_number() OVER (PARTITION BY {_KEY.format('site_name')}, round
 SELECT unit_id, {collapse('geologic_unit')} AS u, {collapse('geology_description')} AS t, concat_ws(' ', u, t) AS both_ FROM geology_units)""",
         "ref_rectangles_within": _RECT.format(op=">", po="<"),
         "ref_rectangles_intersects": _RECT.format(op=">=", po="<="),
+        "ref_rings_within": _RECT.format(op=">", po="<") + " AND NOT (lon BETWEEN x + 2 AND x + 4 AND lat BETWEEN y + 1 AND y + 2)",
+        "ref_rings_intersects": _RECT.format(op=">=", po="<=") + " AND NOT (lon > x + 2 AND lon < x + 4 AND lat > y + 1 AND lat < y + 2)",
+        "ref_confidence_repeated": f"""SELECT least(1.0, round((CASE WHEN {_PLACED} THEN 0.4 ELSE 0 END + CASE WHEN coalesce(len(commodities), 0) > 0 THEN 0.3 ELSE 0 END
+  + CASE WHEN coalesce(trim(site_name), '') <> '' THEN 0.2 ELSE 0 END + CASE WHEN n > 1 THEN 0.1 ELSE 0 END)::DOUBLE, 2)) AS confidence, count(*) AS records
+  FROM (SELECT *, count(*) OVER (PARTITION BY record_id) AS n FROM report_deposits WHERE record_id IS NOT NULL) GROUP BY 1""",
+        "ref_summary_geology": "SELECT count(*) AS total_deposits, count(geologic_unit) AS matched_geology, round(100.0 * count(geologic_unit) / count(*), 2)::DOUBLE AS matched_percent, 0::BIGINT AS rows_with_coordinates FROM geology_observations",
+        "ref_quality_located": f"""SELECT count(*) AS rows, count(*) FILTER ({known}) AS rows_with_coordinates, count(*) FILTER ({_PLACED}) AS rows_with_geometry,
+  count(*) FILTER ({known} AND NOT {_PLACED}) AS invalid_coordinates, count(*) FILTER (commodities IS NOT NULL) AS list_commodities,
+  count(*) FILTER (len(commodities) > 0) AS filled_commodities, count(*) FILTER (coalesce(trim(site_name, {_WS}), '') = '') AS missing_names,
+  count(*) - count(DISTINCT ({_KEY.format('site_name')}, CASE WHEN {_PLACED} THEN round(latitude, 4) END, CASE WHEN {_PLACED} THEN round(longitude, 4) END)) AS duplicate_sites,
+  count(*) - count(DISTINCT coalesce(record_id, '')) AS duplicate_ids FROM deposit_statements""",
+        "ref_match_properties": "SELECT 0::BIGINT AS rows_twice, 0::BIGINT AS reports_twice, 0::BIGINT AS without_reason",
         "ref_summary": f"SELECT count(*) AS total_deposits, 0::BIGINT AS matched_geology, 0.0::DOUBLE AS matched_percent, count(*) FILTER ({known}) AS rows_with_coordinates FROM report_deposits",
         "ref_source_counts": "SELECT source, count(*) AS count FROM deposit_statements GROUP BY 1",
         "ref_commodity_counts": f"""SELECT c AS commodity, count(*) AS count FROM (SELECT lower(trim(unnest(commodities), {_WS})) AS c FROM report_deposits) WHERE c <> ''

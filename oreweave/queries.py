@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from oreweave.functions.geo import decimal
 from oreweave.operators.packed import unpack_values
 from oreweave.operators.proximity import circles, locate, regions
-from oreweave.operators.units import agreeing_pairs, harmonise
+from oreweave.operators.units import agreeing_pairs, harmonise, stated_values
 from oreweave.session import table
-from oreweave.sql_units import PAIRS
+from oreweave.sql_units import PAIRS, STATED
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,10 +25,25 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return agreeing_pairs(p1_values(spark, d))
 
 
-def p4_located(spark: SparkSession, d: str) -> DataFrame:
-    points = table(spark, d, "mrds_registry").select(
+def p1_stated(spark: SparkSession, d: str) -> DataFrame:
+    """Stated numbers in common units, where evidence names a unit."""
+    known = stated_values(table(spark, d, "deposit_statements"), table(spark, d, "source_list")).where("value is not null")
+    return known.select("statement_id", "record_id", "field", "number", F.round("value", 2).alias("value"))
+
+
+def _points(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "mrds_registry").select(
         "row_id", decimal(F.col("latitude")).alias("latitude"), decimal(F.col("longitude")).alias("longitude")
     )
+
+
+def p4_stations(spark: SparkSession, d: str) -> DataFrame:
+    found = locate(_points(spark, d), circles(table(spark, d, "stations"), "station", 10.0, "station_id"), "row_id")
+    return found.select("row_id", F.col("place_id").alias("station_id"), F.round("km", 6).alias("km"))
+
+
+def p4_located(spark: SparkSession, d: str) -> DataFrame:
+    points = _points(spark, d)
     shapes = circles(table(spark, d, "stations"), "station", 10.0, "station_id").unionByName(
         regions(table(spark, d, "geology_units"), "unit", "unit_id")
     )
@@ -44,8 +59,20 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_values, p4_found, p4_located, p7_found)}
+    return {f.__name__: f for f in (p1_found, p1_values, p1_stated, p4_found, p4_located, p4_stations, p7_found)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": PAIRS}
+    number = r"^\s*[+\-]?(\d+\.?\d*|\.\d+)([eE][+\-]?\d+)?\s*$"
+    plain = lambda c: f"CASE WHEN regexp_matches({c}, '{number}') THEN try_cast(trim({c}) AS DOUBLE) END"
+    return {
+        "p1_found": PAIRS,
+        "p1_stated": f"WITH {STATED} SELECT statement_id, rid AS record_id, field, number, round(value, 2) AS value FROM stated WHERE value IS NOT NULL",
+        "p4_stations": f"""
+WITH p AS (SELECT row_id, {plain('latitude')} AS lat, {plain('longitude')} AS lon FROM mrds_registry),
+near AS (
+  SELECT row_id, station_id::BIGINT AS station_id, 2 * 6371.0088 * asin(sqrt(least(1, pow(sin(radians(s.latitude - lat) / 2), 2)
+    + cos(radians(lat)) * cos(radians(s.latitude)) * pow(sin(radians(s.longitude - lon) / 2), 2)))) AS km
+  FROM p JOIN stations s ON abs(s.latitude - lat) <= 0.0901 WHERE lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180)
+SELECT row_id, station_id, round(km, 6) AS km FROM near WHERE km <= 10""",
+    }
