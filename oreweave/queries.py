@@ -28,7 +28,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 def p1_stated(spark: SparkSession, d: str) -> DataFrame:
     """Stated numbers in common units, where evidence names a unit."""
     known = stated_values(table(spark, d, "deposit_statements"), table(spark, d, "source_list")).where("value is not null")
-    return known.select("statement_id", "record_id", "field", "number", F.round("value", 2).alias("value"))
+    return known.select("statement_id", "record_id", "field", "number", F.round(F.log10(F.nullif("value", F.lit(0.0))), 9).alias("log10_value"))
 
 
 def _points(spark: SparkSession, d: str) -> DataFrame:
@@ -67,7 +67,7 @@ def oracle_sql() -> dict[str, str]:
     plain = lambda c: f"CASE WHEN regexp_matches({c}, '{number}') THEN try_cast(trim({c}) AS DOUBLE) END"
     return {
         "p1_found": PAIRS,
-        "p1_stated": f"WITH {STATED} SELECT statement_id, rid AS record_id, field, number, round(value, 2) AS value FROM stated WHERE value IS NOT NULL",
+        "p1_stated": f"WITH {STATED} SELECT statement_id, rid AS record_id, field, number, round(log10(nullif(value, 0)), 9) AS log10_value FROM stated WHERE value IS NOT NULL",
         "p4_stations": f"""
 WITH p AS (SELECT row_id, {plain('latitude')} AS lat, {plain('longitude')} AS lon FROM mrds_registry),
 near AS (
