@@ -3,11 +3,14 @@
 Iterative truth discovery over (group, field, source, value) claims: the
 reliability of a source is its share of votes that agree with the value chosen
 so far, and a value's support is the weighted sum of its voters.  The two are
-alternated until the reliabilities settle.  Where a declared order of trust
-exists, it leads: a claim is compared first by declared rank, then by its own
-confidence, its recency and its id, and discovered support only decides for
-fields and sources without a declared order.  (Support can never overrule a
-declared order, so alone it could not give the survivors that order asks for.)
+alternated until the reliabilities settle.
+
+Where a declared order of trust ranks a source that states the field, that order
+chooses: declared rank, then the claim's own confidence, its recency and its id.
+(Support contradicts it in places, so votes alone could not give the survivors
+that the order asks for.)  In the records built by :func:`surviving_records`
+discovery chooses for the fields that only unranked sources state, and every
+value carries whether discovery supports it.
 
 Votes are aggregated per (group, field, value, source) before anything else is
 shuffled, so a group with very many claims costs what its distinct claims cost,
@@ -18,13 +21,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreweave.operators.units import stated_values
 from oreweave.session import cut_lineage
 
 FIELDS = ("tonnage", "grade", "latitude", "longitude")
+#: Rank of sources without a declared one.
+UNRANKED = 2**31 - 1
+#: Sources up to which their weights travel in the plan; more are joined.
+MOST_IN_PLAN = 1000
 
 
 def field_claims(statements: DataFrame, sources: DataFrame) -> DataFrame:
@@ -62,7 +69,7 @@ def claim_order(statements: DataFrame, sources: DataFrame) -> DataFrame:
             "statement_id",
             "source_key",
             F.struct(
-                F.coalesce("trust_rank", F.lit(2**31 - 1)).alias("rank"), "doubt", "age", F.col("statement_id").alias("id")
+                F.coalesce("trust_rank", F.lit(UNRANKED)).alias("rank"), "doubt", "age", F.col("statement_id").alias("id")
             ).alias("order"),
         )
     )
@@ -73,9 +80,7 @@ def surviving_statements(statements: DataFrame, sources: DataFrame, least: int =
 
     Groups with fewer than ``least`` statements and fields that no statement
     gives are left out.  Ties in everything else go to the smaller id.  The
-    declared order is total, so the vote of the best claim outweighs all others
-    and one round of the discovery settles; the choice is a min-aggregate that
-    combines on the map side.
+    choice is a min-aggregate that combines on the map side.
     """
     ordered = claim_order(statements, sources)
     sizes = statements.where(F.col("record_id").isNotNull()).groupBy(F.trim("record_id").alias("record_id")).count()
@@ -90,6 +95,12 @@ def surviving_statements(statements: DataFrame, sources: DataFrame, least: int =
     )
 
 
+def value_key(value: Column, digits: int = 2) -> Column:
+    """The value in so many significant digits."""
+    magnitude = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(value))) - (digits - 1))
+    return F.when(value == 0, F.lit(0.0)).otherwise(F.round(value / magnitude) * magnitude)
+
+
 def discover_truth(
     claims: DataFrame,
     rounds: int = 20,
@@ -101,62 +112,62 @@ def discover_truth(
     """Truth discovery over claims (record_id, field, source_key, value).
 
     Returns (values, sources): the best-supported value per (record_id, field)
-    as (record_id, field, value, support, share, n_claims), and (source_key,
-    reliability, n_votes).  Values that agree in ``digits`` significant digits
-    vote together.  Reliabilities start at ``prior`` and are smoothed by
-    ``weight`` prior votes; a vote weighs the log odds of its source.  Null
-    sources vote as one source '', null values not at all.  Ties go to the
+    as (record_id, field, value_key, value, support, share, n_claims), and
+    (source_key, reliability, n_votes).  Values that agree in ``digits``
+    significant digits vote together.  Reliabilities start at ``prior`` and are
+    smoothed by ``weight`` prior votes; a vote weighs the log odds of its source.
+    Null sources vote as one source '', null values not at all.  Ties go to the
     smaller value.  Stops when no reliability moves by more than ``settle``.
 
-    The claims are aggregated to distinct (group, field, value, source) rows
-    once, written to the checkpoint folder, and each round scans them; the table
-    of reliabilities has one row per source and is exchanged as a join.
+    The claims are reduced once to a row per group, field and value with its
+    voters and written to the checkpoint folder.  A round reads them with the
+    weights of the sources in the plan (joined, where there are more than
+    MOST_IN_PLAN sources), and shuffles one row per group and field that
+    combines on the map side.
     """
-    magnitude = F.floor(F.log10(F.abs("value"))) - (digits - 1)
-    key = F.when(F.col("value") == 0, F.lit(0.0)).otherwise(
-        F.round(F.col("value") / F.pow(F.lit(10.0), magnitude)) * F.pow(F.lit(10.0), magnitude)
-    )
     votes = (
         claims.where(F.col("value").isNotNull() & F.col("record_id").isNotNull())
-        .withColumn("value_key", key)
-        .groupBy("record_id", "field", "value_key", F.coalesce("source_key", F.lit("")).alias("source_key"))
+        .groupBy("record_id", "field", value_key(F.col("value"), digits).alias("value_key"), F.coalesce("source_key", F.lit("")).alias("source_key"))
         .agg(F.count("*").alias("n"), F.min("value").alias("value"))
+        .groupBy("record_id", "field", "value_key")
+        .agg(F.collect_list(F.struct("source_key", "n")).alias("voters"), F.sum("n").alias("n"), F.min("value").alias("value"))
     )
     votes = cut_lineage(votes)
-    trust = votes.groupBy("source_key").agg(F.lit(prior).alias("reliability"), F.sum("n").alias("n_votes"))
+    voters = lambda df, c: df.select(F.explode(c).alias("v")).groupBy("v.source_key").agg(F.sum("v.n").alias("n"))
+    trust = cut_lineage(voters(votes, "voters").select("source_key", F.lit(prior).alias("reliability"), F.col("n").alias("n_votes")))
+    in_plan = trust.limit(MOST_IN_PLAN + 1).count() <= MOST_IN_PLAN
+    odds = F.log(F.col("reliability") / (1 - F.col("reliability"))) + F.lit(5.0)
     chosen = None
     for _ in range(rounds):
-        weighted = votes.join(trust.select("source_key", "reliability"), "source_key").withColumn(
-            "vote", F.log(F.col("reliability") / (1 - F.col("reliability"))) + F.lit(5.0)
-        )
-        support = weighted.groupBy("record_id", "field", "value_key").agg(
-            F.sum("vote").alias("support"), F.min("value").alias("value"), F.sum("n").alias("n_claims")
-        )
-        chosen = support.groupBy("record_id", "field").agg(
-            F.max_by(
-                F.struct("value_key", "value", "support"), F.struct(F.col("support"), -F.col("value_key"))
-            ).alias("best"),
+        if in_plan:
+            known = [x for r in trust.select("source_key", odds.alias("w")).collect() for x in (F.lit(r["source_key"]), F.lit(r["w"]))]
+            weights = F.create_map(*known) if known else F.create_map().cast("map<string,double>")
+            weighted = votes.withColumn("support", F.aggregate("voters", F.lit(0.0), lambda acc, v: acc + weights[v["source_key"]]))
+        else:
+            each = votes.select("record_id", "field", "value_key", F.explode("voters").alias("v")).select("record_id", "field", "value_key", "v.source_key")
+            support = each.join(trust.select("source_key", odds.alias("w")), "source_key").groupBy("record_id", "field", "value_key").agg(F.sum("w").alias("support"))
+            weighted = votes.join(support, ["record_id", "field", "value_key"])
+        chosen = weighted.groupBy("record_id", "field").agg(
+            F.max_by(F.struct("value_key", "value", "support", "voters"), F.struct(F.col("support"), -F.col("value_key"))).alias("best"),
             F.sum("support").alias("total"),
-            F.sum("n_claims").alias("n_claims"),
+            F.sum("n").alias("n_claims"),
         )
-        agreed = votes.join(chosen.select("record_id", "field", F.col("best.value_key").alias("won")), ["record_id", "field"])
-        update = agreed.groupBy("source_key").agg(
-            (
-                (F.sum(F.when(F.col("won") == F.col("value_key"), F.col("n")).otherwise(0)) + prior * weight)
-                / (F.sum("n") + weight)
-            ).alias("reliability"),
-            F.sum("n").alias("n_votes"),
+        won = voters(chosen, "best.voters").withColumnRenamed("n", "won")
+        update = cut_lineage(
+            trust.select("source_key", F.col("reliability").alias("was"), "n_votes")
+            .join(won, "source_key", "left")
+            .select(
+                "source_key", ((F.coalesce("won", F.lit(0)) + prior * weight) / (F.col("n_votes") + weight)).alias("reliability"), "n_votes", "was"
+            )
         )
-        update = cut_lineage(update)
-        moved = update.join(trust.select("source_key", F.col("reliability").alias("was")), "source_key").agg(
-            F.max(F.abs(F.col("reliability") - F.col("was"))).alias("moved")
-        ).first()["moved"]
-        trust = update
+        moved = update.agg(F.max(F.abs(F.col("reliability") - F.col("was"))).alias("moved")).first()["moved"]
+        trust = update.drop("was")
         if moved is None or moved <= settle:
             break
     values = chosen.select(
         "record_id",
         "field",
+        F.col("best.value_key").alias("value_key"),
         F.col("best.value").alias("value"),
         F.col("best.support").alias("support"),
         (F.col("best.support") / F.col("total")).alias("share"),
@@ -165,25 +176,31 @@ def discover_truth(
     return values, trust
 
 
-def surviving_records(statements: DataFrame, sources: DataFrame) -> DataFrame:
-    """One record per deposit with several statements, built field by field.
+def surviving_records(statements: DataFrame, sources: DataFrame, least: int = 2) -> DataFrame:
+    """One record per deposit with at least ``least`` statements, built field by field.
 
     (record_id, tonnage, grade, latitude, longitude, <field>_statement,
-    <field>_agreed): values of the surviving statements in common units, and
-    whether the value agrees with the one that truth discovery supports most
-    (null where the field is not stated).
+    <field>_agreed): values in common units of the statements that survive, and
+    whether truth discovery supports them most (null where the field is not
+    stated).  A field that only unranked sources state takes the first, in the
+    order of trust, of the statements that discovery supports.
     """
-    claims = field_claims(statements, sources)
-    order = claim_order(statements, sources)
-    best = surviving_statements(statements, sources)
-    found, _ = discover_truth(claims.join(order.select("statement_id", "source_key"), "statement_id"))
-    rows = (
-        best.join(claims, ["record_id", "field", "statement_id"], "left")
-        .join(found.select("record_id", "field", F.col("value").alias("supported")), ["record_id", "field"], "left")
-        .withColumn("agreed", F.abs(F.col("value") - F.col("supported")) <= 0.06 * F.abs("supported"))
+    claims = field_claims(statements, sources).join(claim_order(statements, sources), "statement_id")
+    found, _ = discover_truth(claims.select("record_id", "field", "source_key", "value"))
+    supported = found.select("record_id", "field", F.col("value_key").alias("won"))
+    agrees = F.coalesce(value_key(F.col("value")) == F.col("won"), F.lit(False))
+    claim = F.struct("order", "value", agrees.alias("agrees"))
+    chosen = (
+        claims.join(supported, ["record_id", "field"], "left")
+        .groupBy("record_id", "field")
+        .agg(F.min(claim).alias("declared"), F.min(F.when(agrees, claim)).alias("backed"))
+        .withColumn("pick", F.when(F.col("declared.order.rank") == UNRANKED, F.coalesce("backed", "declared")).otherwise(F.col("declared")))
     )
-    return rows.groupBy("record_id").agg(
-        *[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in FIELDS],
-        *[F.max(F.when(F.col("field") == f, F.col("statement_id"))).alias(f"{f}_statement") for f in FIELDS],
-        *[F.max(F.when(F.col("field") == f, F.col("agreed"))).alias(f"{f}_agreed") for f in FIELDS],
+    sizes = statements.where(F.col("record_id").isNotNull()).groupBy(F.trim("record_id").alias("record_id")).count()
+    of = lambda f, c: F.max(F.when(F.col("field") == f, F.col(c)))
+    rows = chosen.groupBy("record_id").agg(
+        *[of(f, "pick.value").alias(f) for f in FIELDS],
+        *[of(f, "pick.order.id").alias(f"{f}_statement") for f in FIELDS],
+        *[of(f, "pick.agrees").alias(f"{f}_agreed") for f in FIELDS],
     )
+    return rows.join(sizes.where(F.col("count") >= least), "record_id", "left_semi")

@@ -42,3 +42,28 @@ def test_records(spark, sources):
     rows = [row(1, "x", tonnage="2,000 lb", lat=1.0), row(2, "x", "b", tonnage="907.18474 kg", grade="1 oz/ton")]
     r = surviving_records(spark.createDataFrame(rows, SCHEMA), sources).first()
     assert (r["tonnage"], r["grade_statement"], r["latitude"]) == (pytest.approx(0.90718474), 2, 1.0) and r["tonnage_agreed"]
+
+
+def test_discovery_chooses_where_no_order_exists(spark, sources):
+    # only unranked sources: two agree, a third is more confident
+    rows = [row(1, "x", "u", 0.9, tonnage="50"), row(2, "x", "v", 0.2, tonnage="7"), row(3, "x", "w", 0.3, tonnage="7")]
+    # a ranked source leads whatever the votes
+    rows += [row(4, "y", "a", 0.1, tonnage="50"), row(5, "y", "v", 0.9, tonnage="7"), row(6, "y", "w", 0.9, tonnage="7"), row(7, "y", None, tonnage="-1")]
+    rows = [(*r[:9], "tonne" if r[8] else None, *r[10:]) for r in rows]
+    got = {r["record_id"]: r for r in surviving_records(spark.createDataFrame(rows, SCHEMA), sources).collect()}
+    assert (got["x"]["tonnage"], got["x"]["tonnage_statement"], got["x"]["tonnage_agreed"]) == (7.0, 3, True)
+    assert (got["y"]["tonnage"], got["y"]["tonnage_statement"], got["y"]["tonnage_agreed"]) == (50.0, 4, False)
+    assert surviving_records(spark.createDataFrame([], SCHEMA), sources).count() == 0
+
+
+def test_many_sources_are_joined_with_the_same_result(spark, monkeypatch):
+    from oreweave.llm import survivorship
+
+    claims = [(f"d{i % 9}", "grade", f"s{i % 13}", float(i % 4)) for i in range(200)]
+    df = spark.createDataFrame(claims, "record_id string, field string, source_key string, value double")
+    found = []
+    for most in 1000, 5:
+        monkeypatch.setattr(survivorship, "MOST_IN_PLAN", most)
+        values, trust = discover_truth(df)
+        found.append((sorted((r["record_id"], r["value"], r["n_claims"]) for r in values.collect()), sorted((r["source_key"], round(r["reliability"], 9)) for r in trust.collect())))
+    assert found[0] == found[1]
