@@ -10,7 +10,7 @@ independent and there is no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,9 @@ from oreweave.session import cut_lineage
 
 LIMIT = 6000
 OVERLAP = 200
-LEAST_TITLE_SHARE = 1e-3
+#: Marked sections that make a title known, and titles up to which the list is shipped to the tasks.
+LEAST_TITLES = 5
+MOST_SHIPPED = 300_000
 SECTION, PARAGRAPH, SENTENCE, WORD, HARD = range(5)
 
 _LINE = re.compile(r"[^\n\f\r]*")
@@ -68,7 +70,7 @@ def _lines(text: str) -> list[tuple[int, int, str]]:
 
 def _is_title(words: str) -> bool:
     """A short nominal line that starts with a capital or an uncased letter and is no sentence."""
-    if not words or len(words) > 80 or len(words.split()) > 10:
+    if not words or len(words) > 80 or len(words.split()) > 10:  # a longer line is prose
         return False
     if _PROSE.search(words) or _LEADERS.search(words) or _CAPTION.match(words):
         return False
@@ -132,15 +134,16 @@ def marked_titles(text: str | None) -> list[str]:
     for _, _, line in _lines(text) if text else []:
         m = _MARKS.match(line)
         if m and _is_title(line[m.end() :]):
-            out.append(re.sub(r"\W+", " ", line[m.end() :]).strip().lower())
+            out.append(plain_title(line[m.end() :]))
     return out
 
 
-def title_lexicon(reports: DataFrame, text: str = "text") -> frozenset[str]:
-    """Titles of marked sections over all texts, each at least LEAST_TITLE_SHARE of them.
+def plain_title(line: str) -> str:
+    return re.sub(r"\W+", " ", line).strip().lower()
 
-    That share bounds the lexicon to 1 / LEAST_TITLE_SHARE titles.
-    """
+
+def title_lexicon(reports: DataFrame, text: str = "text") -> DataFrame:
+    """(title): titles of at least LEAST_TITLES marked sections over all texts."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -151,10 +154,29 @@ def title_lexicon(reports: DataFrame, text: str = "text") -> frozenset[str]:
             yield pd.DataFrame(list(seen.items()), columns=["title", "n"])
 
     counted = reports.select(F.col(text).alias("text")).mapInPandas(count, "title string, n long")
-    per_title = cut_lineage(counted.groupBy("title").agg(F.sum("n").alias("n")))
-    total = per_title.agg(F.sum("n")).first()[0] or 0
-    kept = per_title.where(F.col("n") >= max(3, LEAST_TITLE_SHARE * total))
-    return frozenset(r["title"] for r in kept.toLocalIterator())
+    return cut_lineage(counted.groupBy("title").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_TITLES).select("title"))
+
+
+def with_titles(reports: DataFrame, titles: DataFrame, key: str, text: str, title: str) -> tuple[DataFrame, Callable[[pd.DataFrame], Iterator[frozenset]]]:
+    """(rows key, text, title and perhaps titles; known titles of each row of a batch).
+
+    The known titles of the corpus are shipped to all tasks, or, beyond
+    MOST_SHIPPED, joined to the texts that hold such a line, with the same result.
+    """
+    head = F.col(title) if title in reports.columns else F.lit(None).cast("string")
+    rows = reports.select(F.col(key).alias("key"), F.col(text).alias("text"), head.alias("title"))
+    if titles.count() <= MOST_SHIPPED:
+        shipped = reports.sparkSession.sparkContext.broadcast(frozenset(r["title"] for r in titles.toLocalIterator()))
+        return rows, lambda b: (shipped.value for _ in range(len(b)))
+    rows = cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()))
+
+    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            held = [(r, w) for r, t in zip(b["row"], b["text"]) if t for w in {plain_title(x[2]) for x in _lines(t)}]
+            yield pd.DataFrame(held, columns=["row", "title"])
+
+    own = rows.select("row", "text").mapInPandas(lines, "row long, title string").join(titles, "title").groupBy("row").agg(F.collect_list("title").alias("titles"))
+    return rows.join(own, "row", "left").drop("row"), lambda b: (frozenset(() if t is None else t) for t in b["titles"])
 
 
 def boundaries(text: str, title: str | None = None, known: frozenset[str] = frozenset()) -> tuple[np.ndarray, np.ndarray]:
@@ -171,33 +193,44 @@ def boundaries(text: str, title: str | None = None, known: frozenset[str] = froz
     return at, np.array([level[int(p)] for p in at], dtype="i1")
 
 
-def _overlap_start(text: str, cut: int, overlap: int) -> int:
-    """First word start at most ``overlap`` before the cut, if it is near; else exactly ``overlap`` before."""
-    lo = max(0, cut - overlap)
-    if lo == 0 or text[lo - 1].isspace():
-        return lo
-    m = re.compile(r"\s+").search(text, lo, min(cut, lo + overlap // 4))
-    return m.end() if m and m.end() < cut else lo
-
-
-def _successor(text: str, at: np.ndarray, level: np.ndarray, begin: int, cut: int, limit: int, overlap: int) -> int:
-    """Farthest legal end of the piece that begins at ``begin`` and adds text from ``cut`` on."""
-    top = begin + limit
-    if top >= len(text):
-        return len(text)
-    lo, hi = np.searchsorted(at, cut, "right"), np.searchsorted(at, top, "right")
-    if hi > lo:
-        window = level[lo:hi]
-        # a section start, or else a paragraph, that leaves no crumb; then the best of what there is
-        for least, ranks in ((limit // 4, (SECTION, PARAGRAPH, SENTENCE)), (overlap, (SECTION, PARAGRAPH, SENTENCE))):
-            for rank in ranks:
-                found = np.flatnonzero((window == rank) & (at[lo:hi] >= cut + least))
-                if len(found):
-                    return int(at[lo + found[-1]])
-    for k in range(top, max(cut, top - limit // 4), -1):
-        if text[k - 1].isspace() and not text[k].isspace():
-            return k
-    return top
+class _Cuts:
+    """Successors of all positions of a text at once, from its boundaries and word starts."""
+
+    def __init__(self, text: str, at: np.ndarray, level: np.ndarray, limit: int, overlap: int):
+        self.size, self.limit, self.overlap = len(text), limit, overlap
+        blanks = np.array([m.span() for m in re.finditer(r"\s+", text)], dtype="i8").reshape(-1, 2)
+        self.blanks = blanks
+        self.words = blanks[blanks[:, 1] < len(text), 1]
+        self.ranked = [at[level == rank] for rank in (SECTION, PARAGRAPH, SENTENCE)]
+
+    def begins(self, cut: np.ndarray) -> np.ndarray:
+        """Where the piece after a cut begins: at the first word at most ``overlap`` before it, if it is near; else exactly there."""
+        lo = np.maximum(0, cut - self.overlap)
+        run = np.searchsorted(self.blanks[:, 0], lo, "left") - 1
+        free = (lo == 0) | ((run >= 0) & (lo <= self.blanks[run, 1])) if len(self.blanks) else lo == 0
+        nxt = self._at(self.words, np.searchsorted(self.words, lo, "right"))
+        near = (nxt > 0) & (nxt <= lo + self.overlap // 4) & (nxt < cut)
+        return np.where(cut == 0, 0, np.where(free | ~near, lo, nxt))
+
+    def ends(self, begin: np.ndarray, cut: np.ndarray) -> np.ndarray:
+        """Farthest legal end of each piece that begins at ``begin`` and adds text from ``cut`` on."""
+        top = begin + self.limit
+        found = np.zeros(len(cut), dtype="i8")
+        # a section start, or else a paragraph or sentence, that leaves no crumb; then the best of what there is
+        for least in (self.limit // 4, self.overlap):
+            for boundary in self.ranked:
+                last = self._at(boundary, np.searchsorted(boundary, top, "right") - 1)
+                found = np.where((found == 0) & (last > cut) & (last >= cut + least), last, found)
+        word = self._at(self.words, np.searchsorted(self.words, top, "right") - 1)
+        word = np.where(word > np.maximum(cut, top - self.limit // 4), word, top)
+        return np.where(top >= self.size, self.size, np.where(found > 0, found, word))
+
+    @staticmethod
+    def _at(values: np.ndarray, index: np.ndarray) -> np.ndarray:
+        """values[index], 0 outside."""
+        if not len(values):
+            return np.zeros(len(index), dtype="i8")
+        return np.where((index >= 0) & (index < len(values)), values[np.clip(index, 0, len(values) - 1)], 0)
 
 
 def cut_points(
@@ -205,41 +238,38 @@ def cut_points(
 ) -> list[tuple[int, int]]:
     """(start, end) of each piece: at most ``limit`` characters, consecutive pieces overlapping.
 
-    Nodes are the boundaries; a node without a boundary in reach gets a successor
-    at a word or, failing that, exactly at the limit, which becomes a node too.
+    Nodes are the boundaries; the successors of all nodes are found at once.  A
+    node without a boundary in reach gets a successor at a word or, failing that,
+    exactly at the limit, which becomes a node too.
     """
     if len(text) <= limit:
         return [(0, len(text))]
     if not 0 <= overlap < limit // 2:
         raise ValueError("the overlap must be under half the limit")
     at, level = boundaries(text, title, known)
-    nodes = [0, *at.tolist()]
-    begin: dict[int, int] = {}
-    nxt: dict[int, int] = {}
-    todo = list(nodes)
-    while todo:
-        more = []
-        for p in todo:
-            if p in nxt or p >= len(text):
-                continue
-            begin[p] = 0 if p == 0 else _overlap_start(text, p, overlap)
-            nxt[p] = _successor(text, at, level, begin[p], p, limit, overlap)
-            if nxt[p] not in nxt and nxt[p] < len(text):
-                more.append(nxt[p])
-        todo = more
-    table = np.array(sorted({*nxt, len(text)}), dtype="i8")
-    jump = np.searchsorted(table, [nxt.get(int(p), len(text)) for p in table])
+    cuts = _Cuts(text, at, level, limit, overlap)
+    table = new = np.append(0, at)
+    follow = np.zeros(0, dtype="i8")
+    known: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    while len(new):  # cuts that are no boundaries become nodes too
+        begin = cuts.begins(new)
+        end = cuts.ends(begin, new)
+        known.append((new, begin, end))
+        fresh = np.unique(end[end < len(text)])
+        new = fresh[~np.isin(fresh, table)]
+        table = np.union1d(table, new)
+    order = np.argsort(np.concatenate([k[0] for k in known]))
+    start, follow = (np.append(np.concatenate([k[i] for k in known])[order], len(text)) for i in (1, 2))
+    table = np.append(table, len(text))
+    jump = np.searchsorted(table, follow)
     reached = np.array([0], dtype="i8")
-    last = len(table) - 1
     while True:  # reached covers 2^k cuts from the start; jump is the successor table to the power 2^k
         both = np.union1d(reached, jump[reached])
         if len(both) == len(reached):
             break
         reached = both
         jump = jump[jump]
-    cuts = table[reached].tolist()
-    assert cuts[-1] == table[last]
-    return [(begin[a], b) for a, b in zip(cuts, cuts[1:])]
+    return [(int(start[k]), int(table[n])) for k, n in zip(reached, reached[1:])]
 
 
 def report_sections(
@@ -251,17 +281,15 @@ def report_sections(
     read as often as they occur.
     """
 
-    known = reports.sparkSession.sparkContext.broadcast(title_lexicon(reports, text))
+    rows, known = with_titles(reports.where(F.length(text) > longer_than), title_lexicon(reports, text), key, text, title)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [(k, s) for k, t, h in zip(b["key"], b["text"], b["title"]) for s in section_starts(t, h, known.value)]
+            found = [(k, s) for k, t, h, w in zip(b["key"], b["text"], b["title"], known(b)) for s in section_starts(t, h, w)]
             yield pd.DataFrame(found, columns=[key, "start_char"])
 
     schema = T.StructType([T.StructField(key, reports.schema[key].dataType), T.StructField("start_char", T.IntegerType())])
-    head = F.col(title) if title in reports.columns else F.lit(None).cast("string")
-    long = reports.where(F.length(text) > longer_than)
-    return long.select(F.col(key).alias("key"), F.col(text).alias("text"), head.alias("title")).mapInPandas(find, schema)
+    return rows.mapInPandas(find, schema)
 
 
 def split_texts(
@@ -279,17 +307,17 @@ def split_texts(
     without their repeated heads join to the text.
     """
 
-    known = reports.sparkSession.sparkContext.broadcast(title_lexicon(reports, text))
+    rows, known = with_titles(reports, title_lexicon(reports, text), key, text, title)
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [
+            pieces = [
                 (k, i, a, z, t[a:z])
-                for k, t, h in zip(b["key"], b["text"], b["title"])
+                for k, t, h, w in zip(b["key"], b["text"], b["title"], known(b))
                 if t
-                for i, (a, z) in enumerate(cut_points(t, h, limit, overlap, known.value))
+                for i, (a, z) in enumerate(cut_points(t, h, limit, overlap, w))
             ]
-            yield pd.DataFrame(rows, columns=[key, "piece_no", "start_char", "end_char", "piece"])
+            yield pd.DataFrame(pieces, columns=[key, "piece_no", "start_char", "end_char", "piece"])
 
     schema = T.StructType(
         [
@@ -300,5 +328,4 @@ def split_texts(
             T.StructField("piece", T.StringType()),
         ]
     )
-    head = F.col(title) if title in reports.columns else F.lit(None).cast("string")
-    return reports.select(F.col(key).alias("key"), F.col(text).alias("text"), head.alias("title")).mapInPandas(split, schema)
+    return rows.mapInPandas(split, schema)

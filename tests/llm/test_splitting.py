@@ -78,18 +78,51 @@ def test_cut_at_sections_first():
     assert all(z in starts for _, z in cut_points(text)[:-1])
 
 
-def test_greedy_cuts_equal_following_one_by_one(monkeypatch):
+def one_by_one(text, limit, overlap):
+    """The same greedy cuts, each found by trying all ends of its piece."""
     import oreweave.llm.splitting as s
 
-    text = ("The vein dips. " * 30 + "\n\n") * 40
     at, level = s.boundaries(text)
-    cut, want = 0, []
+    kind = dict(zip(at.tolist(), level.tolist()))
+    word = [False] + [text[k - 1].isspace() and not text[k].isspace() for k in range(1, len(text))]
+    cut, out = 0, []
     while cut < len(text):
-        begin = 0 if cut == 0 else s._overlap_start(text, cut, 50)
-        end = s._successor(text, at, level, begin, cut, 900, 50)
-        want.append((begin, end))
+        begin = max(0, cut - overlap) if cut else 0
+        if begin and not text[begin - 1].isspace():
+            begin = next((k for k in range(begin + 1, min(cut - 1, begin + overlap // 4) + 1) if word[k]), begin)
+        top = begin + limit
+        end = len(text) if top >= len(text) else None
+        for least in (limit // 4, overlap):
+            for rank in (s.SECTION, s.PARAGRAPH, s.SENTENCE):
+                if end is None:
+                    end = next((k for k in range(top, max(cut, cut + least - 1), -1) if kind.get(k) == rank), None)
+        if end is None:
+            end = next((k for k in range(top, max(cut, top - limit // 4), -1) if word[k]), top)
+        out.append((begin, end))
         cut = end
-    assert cut_points(text, None, 900, 50) == want
+    return out
+
+
+def test_greedy_cuts_equal_following_one_by_one():
+    rng = random.Random(5)
+    for _ in range(40):
+        words = [rng.choice(["rock ", "vein. ", "The adit ", "\n\n", "\n\n1. Access\nIt ", "x" * 40, "水文。", "y" * 700]) for _ in range(rng.randint(30, 300))]
+        text = "".join(words)
+        if len(text) > 600:
+            assert cut_points(text, None, 600, 40) == one_by_one(text, 600, 40)
+
+
+def test_many_titles_are_joined_with_the_same_result(spark, monkeypatch):
+    import oreweave.llm.splitting as s
+
+    body = "The adit is open to the east side. " * 200
+    rows = [(str(i), f"1. Water level\n{body}\n\nWater level\n{body}", "T") for i in range(6)] + [("n", None, None), ("t", f"Water level\n{body}", None)]
+    df = spark.createDataFrame(rows, "report_id string, text string, title string")
+    found = []
+    for most in 1000, 0:
+        monkeypatch.setattr(s, "MOST_SHIPPED", most)
+        found.append((sorted(map(str, report_sections(df).collect())), sorted(map(str, split_texts(df).collect()))))
+    assert found[0] == found[1] and any("report_id='t'" in r for r in found[0][0])
 
 
 def test_tables(spark):
