@@ -20,7 +20,6 @@ import math
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 import regex as re
@@ -34,6 +33,7 @@ from oreweave.llm.aliases import ALIASES, QUALIFIERS, UNLISTED
 THRESHOLD = 0.25
 MARGIN = 0.05
 MOST_TERMS = 100_000
+MOST_REMEMBERED = 1 << 17
 
 _SPACE = re.compile(r"\s+")
 _EDGES = re.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N})]+$")
@@ -90,6 +90,7 @@ class Index:
 
     def __init__(self, terms: list[tuple[int, str, str | None]], aliases: dict[str, list[str]], unlisted: str = ""):
         names: dict[str, int] = {}
+        self.remembered: dict[str, tuple[int, float]] = {}
         self.codes: dict[str, int] = {}
         for term_id, term, code in terms:
             names.setdefault(normalise(term), term_id)
@@ -155,7 +156,21 @@ class Index:
         return close[0][2], -close[0][1]
 
     def term_of(self, value: str) -> tuple[int, float]:
-        """(term_id, confidence) that a value means; (0, confidence) if it names nothing listed."""
+        """(term_id, confidence) that a value means; (0, confidence) if it names nothing listed.
+
+        Answers are remembered as long as the worker lives, for MOST_REMEMBERED values at a time.
+        """
+        found = self.remembered.get(value)
+        if found is None:
+            if len(self.remembered) >= MOST_REMEMBERED:
+                self.remembered.clear()
+            found = self.remembered[value] = self._meaning(value)
+        return found
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"remembered": {}}
+
+    def _meaning(self, value: str) -> tuple[int, float]:
         text = normalise(value)
         if not text:
             return 0, 0.0
@@ -213,7 +228,6 @@ def map_values(values: DataFrame, canon: DataFrame, kind: str = "kind", value: s
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         indexes = shipped.value
 
-        @lru_cache(maxsize=1 << 17)
         def one(k: str, v: str) -> tuple[int, float]:
             return indexes[k].term_of(v) if k in indexes else (0, 0.0)
 
