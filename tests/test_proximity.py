@@ -1,8 +1,11 @@
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from oreweave.functions.geo import EARTH_KM
 from oreweave.functions.wkb import BOUNDARY, IN, OUT, multipolygon_wkb, parse_parts, polygon_wkb, side_of
+from oreweave.operators import proximity
 from oreweave.operators.proximity import circles, locate, regions
 
 
@@ -49,3 +52,26 @@ def test_empty_inputs_and_bad_geometry(spark):
         parse_parts(b"\x01\x03\x00\x00\x00\x01\x00")
     side = side_of(parse_parts(polygon_wkb([[(0, 0), (2, 0), (0, 2), (0, 0)]]))[0], np.array([0.5, 1.0, 2.0]), np.array([0.5, 1.0, 2.0]))
     assert side.tolist() == [IN, BOUNDARY, OUT]
+
+
+def test_a_crowded_batch_is_met_in_bounded_runs(monkeypatch):
+    monkeypatch.setattr(proximity, "MET", 1000)
+    rng = np.random.default_rng(8)
+    lat, lon = rng.uniform(10, 10.2, 700), np.sort(np.append(np.full(200, 20.0), rng.uniform(19.9, 20.1, 500)))
+    rows = [(40, 0, 19.0, True, None, 21.0, "c", k, 10.1, 20.0, 12.0, 0, None) for k in range(60)]
+    rows += [(40, 0, o, False, float(i), np.nan, None, 0, a, np.nan, np.nan, 0, None) for i, (a, o) in enumerate(zip(lat, lon))]
+    b = pd.DataFrame(rows, columns="strip chunk event is_place point stop place_kind place_id lat lon km part shape".split())
+    b.loc[~b["is_place"], "lon"] = lon
+    parts = list(proximity._sweep(iter([b])))
+    near = np.flatnonzero(far(lat, lon, 10.1, 20.0) <= 12.0)
+    got = pd.concat(parts)
+    assert max(map(len, parts)) <= 1100 and len(near) > 100
+    assert set(zip(got["point"], got["place_id"])) == {(float(i), k) for i in near for k in range(60)} and len(got) == 60 * len(near)
+
+
+def test_tally_counts_the_pairs(spark):
+    df = spark.createDataFrame([(i, 10.0 + i % 7 / 10, 179.8 + i % 5 / 10 - 360 * (i % 5 > 2)) for i in range(200)], "id long, latitude double, longitude double")
+    shapes = circles(df.where("id < 20"), "c", 40.0, "id")
+    want = locate(df, shapes, "id").groupBy("place_id").agg(F.count("*"), F.min("id"))
+    got = locate(df, shapes, "id", chunk_rows=20, tally=True).select("place_id", "n", "least")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 20
