@@ -88,3 +88,18 @@ def lcs_row(row, x, b):
     for k, y in enumerate(b):
         last = row[k] + 1 if x == y else max(row[k + 1], last)
         yield last
+
+
+def test_a_crowded_district_is_united_without_all_its_pairs(spark, monkeypatch):
+    rng = random.Random(6)
+    name = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(6, 14)))
+    make = lambda n, source: [(i, f"{source}{i}", name(), 30 + rng.random() / 4, 20 + rng.random() / 4, ["gold"], source, 1.0, None, None, "u") for i in range(n)]
+    rows, reports = make(200, "mrds"), make(50, "pdf")
+    schema = "_ord long, record_id string, site_name string, latitude double, longitude double, commodities array<string>, source string, confidence_score double, grade double, tonnage double, source_url string"
+    listed, assign = [], fusion.assign_one_to_one
+    monkeypatch.setattr(fusion, "assign_one_to_one", lambda pairs, *more: listed.append(pairs.count()) or assign(pairs, *more))
+    unified, parts = fusion.build_unified(spark.createDataFrame(rows, schema), spark.createDataFrame(reports, schema))
+    expected, met = served([(r[0], *r[2:5]) for r in rows], [(r[0], *r[2:5]) for r in reports])
+    assert {(r["m_ord"], r["p_ord"]) for r in parts["pairs"].collect()} == expected and met == 10_000 and sum(listed) < 0.1 * met
+    counts = fusion.match_counts(unified, parts).first()
+    assert (counts["matched"], counts["unmatched_mrds_pre_dedupe"], counts["unmatched_pdf_pre_dedupe"], counts["total"]) == (50, 150, 0, 200)
