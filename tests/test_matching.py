@@ -103,3 +103,20 @@ def test_a_crowded_district_is_united_without_all_its_pairs(spark, monkeypatch):
     assert {(r["m_ord"], r["p_ord"]) for r in parts["pairs"].collect()} == expected and met == 10_000 and sum(listed) < 0.1 * met
     counts = fusion.match_counts(unified, parts).first()
     assert (counts["matched"], counts["unmatched_mrds_pre_dedupe"], counts["unmatched_pdf_pre_dedupe"], counts["total"]) == (50, 150, 0, 200)
+
+
+def test_names_are_searched_once_and_a_round_has_three_plans(spark, monkeypatch):
+    rows, reports = world(2, 30, 90)
+    called = {}
+    for name in ("_alike", "best_near", "cut_lineage"):
+        called[name] = 0
+
+        def counted(*args, f=getattr(fusion, name), name=name, **more):
+            called[name] += 1
+            return f(*args, **more)
+
+        monkeypatch.setattr(fusion, name, counted)
+    got = fusion.match_records(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(reports, SCHEMA))
+    assert {(r["m_ord"], r["p_ord"]) for r in got.collect()} == served(rows, reports)[0]
+    # the sides, the keys asked for and the pairs by name come before the rounds
+    assert called["_alike"] == 1 and called["best_near"] > 1 and called["cut_lineage"] <= 4 + 3 * called["best_near"]
