@@ -120,3 +120,20 @@ def test_names_are_searched_once_and_a_round_has_three_plans(spark, monkeypatch)
     assert {(r["m_ord"], r["p_ord"]) for r in got.collect()} == served(rows, reports)[0]
     # the sides, the keys asked for and the pairs by name come before the rounds
     assert called["_alike"] == 1 and called["best_near"] > 1 and called["cut_lineage"] <= 4 + 3 * called["best_near"]
+
+
+def test_the_counters_put_the_records_together_once(spark):
+    schema = "_ord long, record_id string, site_name string, latitude double, longitude double, commodities array<string>, source string, confidence_score double, grade double, tonnage double, source_url string"
+    make = lambda source, *at: [(i, f"{source}{i}", f"site{i % 5}", x, x, ["gold"], source, 1.0, None, None, "u") for i, x in enumerate(at)]
+    rows, reports = make("mrds", 1.0, 2.0, 3.0, 4.0, 5.0, 1.0, 2.0), make("pdf", 1.0, 30.0, None)
+    sides = spark.createDataFrame(rows, schema), spark.createDataFrame(reports, schema)
+    unified, parts = fusion.build_unified(*sides)
+    counts = fusion.match_counts(unified, parts)
+    got = counts.first().asDict()
+    together = {x["_part"]: x["count"] for x in parts["together"].groupBy("_part").count().collect()}
+    assert got["matched"] == parts["pairs"].count() == together[0]
+    assert (got["unmatched_mrds_pre_dedupe"], got["unmatched_pdf_pre_dedupe"]) == (together.get(1, 0), together.get(2, 0))
+    assert (got["input_mrds"], got["input_pdf"], got["pre_dedupe_total"], got["total"]) == (7, 3, sum(together.values()), unified.count())
+    assert got["deduped_records"] == got["pre_dedupe_total"] - got["total"] > 0
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") == 2 and "Cross" not in plan
